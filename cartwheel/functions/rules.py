@@ -68,9 +68,10 @@ def tier_of(value, rule: TierRule = SPEND_TIERS) -> str:
 
 def discount_amounts(spend: pd.Series, tier: pd.Series,
                      rates: dict[str, float] | None = None) -> pd.Series:
-    """Vectorised ``spend * rate(tier)``; unknown tiers get the unknown rate."""
+    """Vectorised ``spend * rate(tier)``; unknown tiers get the unknown rate.
+    Spend is coerced to float64 (SQL callers may pass decimals)."""
     rates = DISCOUNT_RATES if rates is None else rates
-    return spend * tier.map(rates).fillna(UNKNOWN_TIER_RATE).astype("float64")
+    return spend.astype("float64") * tier.map(rates).fillna(UNKNOWN_TIER_RATE).astype("float64")
 
 
 # ------------------------------------------------------------------- UDFs

@@ -35,3 +35,21 @@ ORDERS = T.StructType([
 RAW_TABLES = {"customers": CUSTOMERS, "products": PRODUCTS, "orders": ORDERS}
 
 MONEY = T.DecimalType(10, 2)
+
+# Declared schemas of the driver's parquet test tables. Reading with a
+# declared schema skips footer-based inference on every bind (and on a
+# cluster keeps a stray file with a drifted schema from changing the plan).
+TESTDATA = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+             "p_retailprice double"),
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                 "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                 "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}

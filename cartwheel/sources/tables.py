@@ -34,12 +34,13 @@ orders              lineitem ⨝ orders on l_orderkey = o_orderkey
 
 from __future__ import annotations
 
+import weakref
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.sources.schemas import MONEY
+from cartwheel.sources.schemas import MONEY, TESTDATA
 
 
 @dataclass(frozen=True)
@@ -58,11 +59,31 @@ class Shop:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TESTDATA:
+        reader = reader.schema(TESTDATA[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def from_testdata(spark: SparkSession, sf_dir: str) -> Shop:
-    """Bind the parquet test tables to the raw-layer columns (lazy)."""
+_BOUND: "weakref.WeakKeyDictionary[SparkSession, dict[str, Shop]]" = weakref.WeakKeyDictionary()
+
+
+def from_testdata(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Shop:
+    """Bind the parquet test tables to the raw-layer columns (lazy).
+
+    The frames are plans, not data: binding once per session and directory
+    (``reuse``) only saves the driver from re-listing files and
+    re-analysing the same joins for every query."""
+    key = sf_dir.rstrip("/")
+    if reuse and key in _BOUND.get(spark, {}):
+        return _BOUND[spark][key]
+    shop = _bind(spark, key)
+    if reuse:
+        _BOUND.setdefault(spark, {})[key] = shop
+    return shop
+
+
+def _bind(spark: SparkSession, sf_dir: str) -> Shop:
     t = lambda name: read_table(spark, sf_dir, name)
 
     # nation ⨝ region is 25 rows by construction; the planner broadcasts it

@@ -9,6 +9,8 @@ from collections import Counter
 
 import duckdb
 
+ROUND = True
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -24,7 +26,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.12g}")
+        return float(f"{v:.12g}") if ROUND else v
     return v
 
 

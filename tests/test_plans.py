@@ -1,0 +1,62 @@
+"""Plan shape: pushdown, pruning, top-k fusion, no Python in native paths,
+Arrow batches in the vectorised path, pre-aggregation below the customer
+join."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+
+import pytest
+from conftest import SF001
+
+from cartwheel.config import TESTDATA_PARAMS as P
+from cartwheel.operators import reports as R
+from cartwheel.plans import etl
+from cartwheel.sources.tables import from_testdata
+
+
+def plan(df) -> str:
+    """The physical plan as ``explain()`` prints it."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+@pytest.fixture(scope="module")
+def td(spark):
+    return from_testdata(spark, SF001)
+
+
+def test_category_filter_reaches_part_scan(td):
+    text = plan(R.category_revenue_by_region(td, P))
+    assert "PushedFilters: [IsNotNull(p_type), EqualTo(p_type,PROMO)" in text
+
+
+def test_lineitem_scan_is_pruned(td):
+    text = plan(R.revenue_by_region(td))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in text
+
+
+def test_top_k_fused(td):
+    assert "TakeOrderedAndProject" in plan(R.top_products(td, P))
+
+
+def test_native_paths_have_no_python(td):
+    for df in (R.customer_tiers(td, P), R.customer_discounts(R.customer_tiers(td, P), P, vectorised=False),
+               etl.monthly_revenue_summary(td, P), etl.customer_360(td, P)):
+        text = plan(df)
+        assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
+def test_udf_paths_are_marked(td):
+    assert "BatchEvalPython" in plan(R.customer_tiers_udf(td, P))
+    assert "ArrowEvalPython" in plan(R.customer_discounts(R.customer_tiers(td, P), P))
+
+
+def test_summary_aggregates_before_customer_join(td):
+    text = plan(etl.monthly_revenue_summary(td, P))
+    # the (customer, month) partial aggregate sits below the join to customer
+    join_at = text.find("Join")
+    assert "partial_sum" in text[join_at:], "line totals must be summed below the customer join"
