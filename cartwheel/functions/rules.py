@@ -111,9 +111,19 @@ def tier_case_sql(arg: str, rule: TierRule) -> str:
 
 
 def register_sql_functions(spark: SparkSession, rule: TierRule = SPEND_TIERS,
-                           name: str = "discount_tier") -> None:
-    """``discount_tier(x)`` as a SQL-bodied temporary function: callable from
-    SQL text, inlined by the analyzer, so it stays native (no Python)."""
+                           name: str = "discount_tier", database: str | None = None) -> str:
+    """``discount_tier(x)`` as a SQL-bodied function: callable from SQL text,
+    inlined by the analyzer, so it stays native (no Python).
+
+    Temporary (session lifetime) by default; with ``database`` it is a
+    persistent catalog function ``database.name`` that other sessions on the
+    same catalog can call. Re-registering replaces. Returns the name."""
     body = tier_case_sql("nullif(total_spend, double('NaN'))", rule)
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(total_spend DOUBLE) "
+    if database is None:
+        kind, qualified = "TEMPORARY FUNCTION", name
+    else:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        kind, qualified = "FUNCTION", f"{database}.{name}"
+    spark.sql(f"CREATE OR REPLACE {kind} {qualified}(total_spend DOUBLE) "
               f"RETURNS STRING RETURN {body}")
+    return qualified

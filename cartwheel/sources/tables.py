@@ -102,8 +102,11 @@ def _bind(spark: SparkSession, sf_dir: str) -> Shop:
         F.col("p_type").alias("category"),
         F.col("p_retailprice").cast(MONEY).alias("unit_price"),
     )
+    # lineitem ⨝ orders is fact-to-fact: orders grows with the data and has
+    # no size bound, so it is never broadcast. Sort-merge (not shuffled hash):
+    # it spills, and AQE can split a skewed order key across tasks.
     lines = t("lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    heads = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    heads = t("orders").select("o_orderkey", "o_custkey", "o_orderdate").hint("merge")
     orders = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),

@@ -71,3 +71,11 @@ def test_emails_in_whole_text(spark):
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     got = [r[0] for r in df.select(F.explode(email.emails_in("text"))).collect()]
     assert got == ["ann.lee@example.org", "bob@mail.co.uk", "zed+tag@far.example.com"]
+
+
+def test_persistent_sql_function(spark):
+    name = rules.register_sql_functions(spark, database="fn_t")
+    assert name == "fn_t.discount_tier"
+    assert spark.sql("SELECT fn_t.discount_tier(600.0)").first()[0] == "Platinum"
+    rules.register_sql_functions(spark, SPEND_TIERS.with_thresholds(1000.0, 500.0, 100.0), database="fn_t")
+    assert spark.sql("SELECT fn_t.discount_tier(600.0)").first()[0] == "Gold"      # replaced
