@@ -10,11 +10,15 @@ schema) but never deletes the live data before the new data is complete:
 2. only after that job commits is the table pointed at the new directory.
 
 Readers therefore see either the old or the new version, and a rerun from a
-new session works (no ``LOCATION_ALREADY_EXISTS``).
+new session works (no ``LOCATION_ALREADY_EXISTS``). Version names sort by
+time; after a publish all but the live and the previous version are
+deleted, so a reader still on the previous version keeps working and
+repeated runs do not accumulate copies.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +38,8 @@ def save_table(df: DataFrame, table: str, root: str | None = None) -> str:
     spark: SparkSession = df.sparkSession
     db, name = _split(table)
     base = (root or output_root(spark)).rstrip("/")
-    location = f"{base}/{db}.db/{name}/v-{uuid.uuid4().hex}"
+    table_dir = f"{base}/{db}.db/{name}"
+    location = f"{table_dir}/v-{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(location)
 
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
@@ -44,9 +49,27 @@ def save_table(df: DataFrame, table: str, root: str | None = None) -> str:
     else:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.catalog.createTable(table, path=location, source="parquet")
+    prune_versions(spark, table_dir, keep=2)
     return location
 
 
+def prune_versions(spark: SparkSession, table_dir: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest ``keep`` version directories of a table
+    (Hadoop FileSystem of the session, so it works on any shared store)."""
+    jvm = getattr(spark, "_jvm", None) or spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(table_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    versions = sorted((st.getPath() for st in fs.listStatus(path)
+                       if st.isDirectory() and st.getPath().getName().startswith("v-")),
+                      key=lambda p: p.getName())
+    doomed = versions[:-keep] if keep > 0 else versions
+    for p in doomed:
+        fs.delete(p, True)
+    return [p.toString() for p in doomed]
+
+
 def saved_row_count_status(spark: SparkSession, table: str) -> str:
     """Status line after a save: the count is read back from the table."""
     n = spark.table(table).count()

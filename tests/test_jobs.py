@@ -81,3 +81,28 @@ def test_raw_layer_round_trip(spark, shop):
     assert dict(raw.products.dtypes)["unit_price"] == "decimal(10,2)"
     again = from_catalog(spark, P.raw_db)
     assert etl.build_customer_360(spark, again, P) == "SUCCESS: Saved 5 rows to analytics_t.customer_360"
+
+
+def test_versions_pruned_and_new_session_rerun(spark, shop):
+    import glob
+    import os
+
+    from cartwheel.session import output_root
+    for _ in range(3):
+        etl.build_customer_360(spark, shop, P)
+    table_dir = output_root(spark).removeprefix("file:") + "/analytics_t.db/customer_360"
+    assert len([d for d in os.listdir(table_dir) if d.startswith("v-")]) == 2
+    live = spark.sql("DESCRIBE TABLE EXTENDED analytics_t.customer_360").filter("col_name = 'Location'").first()[1]
+    assert os.path.basename(live) == sorted(d for d in os.listdir(table_dir) if d.startswith("v-"))[-1]
+    assert glob.glob(table_dir + "/v-*/*.parquet")
+
+    fresh = spark.newSession()
+    assert etl.build_customer_360(fresh, shop, P) == "SUCCESS: Saved 5 rows to analytics_t.customer_360"
+    assert fresh.table("analytics_t.customer_360").count() == 5
+
+
+def test_summary_and_region_totals_agree(spark, shop):
+    from cartwheel.operators import reports as R
+    summary = etl.monthly_revenue_summary(shop, P).agg(F.sum("total_revenue"), F.sum("order_count")).first()
+    region = R.revenue_by_region(shop).agg(F.sum("total_revenue"), F.sum("order_count")).first()
+    assert tuple(summary) == tuple(region)
