@@ -12,8 +12,6 @@ all send NULL/NaN input to the rule's default tier.
 
 from __future__ import annotations
 
-import math
-
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -53,43 +51,66 @@ def discount_amount_column(spend: Column | str, tier: Column | str,
 
 
 # ----------------------------------------------------------------- python
+# The functions below build self-contained closures over plain data (labels,
+# thresholds, a rate dict). Spark ships them to Python workers by value, so
+# executors need no copy of this package on their path.
+def tier_function(rule: TierRule = SPEND_TIERS):
+    """The rule as a plain Python function of one value (NULL/NaN -> default)."""
+    tiers = tuple((str(label), float(threshold)) for label, threshold in rule.tiers)
+    default, inclusive = str(rule.default), bool(rule.inclusive)
+
+    def discount_tier(value):
+        if value is None:
+            return default
+        x = float(value)
+        if x != x:  # NaN
+            return default
+        for label, threshold in tiers:
+            if (x >= threshold) if inclusive else (x > threshold):
+                return label
+        return default
+
+    return discount_tier
+
+
 def tier_of(value, rule: TierRule = SPEND_TIERS) -> str:
     """The rule on one Python value (NULL/NaN -> default)."""
-    if value is None:
-        return rule.default
-    x = float(value)
-    if math.isnan(x):
-        return rule.default
-    for label, threshold in rule.tiers:
-        if (x >= threshold) if rule.inclusive else (x > threshold):
-            return label
-    return rule.default
+    return tier_function(rule)(value)
+
+
+def discount_amount_function(rates: dict[str, float] | None = None):
+    """Vectorised ``spend * rate(tier)`` over pandas Series; unknown tiers
+    get the unknown rate; spend is coerced to float64 (SQL callers may pass
+    decimals)."""
+    table = {str(k): float(v) for k, v in (DISCOUNT_RATES if rates is None else rates).items()}
+    unknown = float(UNKNOWN_TIER_RATE)
+
+    def amounts(spend, tier):
+        return spend.astype("float64") * tier.map(table).fillna(unknown).astype("float64")
+
+    return amounts
 
 
 def discount_amounts(spend: pd.Series, tier: pd.Series,
                      rates: dict[str, float] | None = None) -> pd.Series:
-    """Vectorised ``spend * rate(tier)``; unknown tiers get the unknown rate.
-    Spend is coerced to float64 (SQL callers may pass decimals)."""
-    rates = DISCOUNT_RATES if rates is None else rates
-    return spend.astype("float64") * tier.map(rates).fillna(UNKNOWN_TIER_RATE).astype("float64")
+    return discount_amount_function(rates)(spend, tier)
 
 
 # ------------------------------------------------------------------- UDFs
 def tier_udf(rule: TierRule = SPEND_TIERS, use_arrow: bool = False):
     """Row-at-a-time Python UDF (``BatchEvalPython``); with ``use_arrow`` the
     rows travel in Arrow batches (``ArrowEvalPython``)."""
-    return F.udf(lambda v: tier_of(v, rule), "string", useArrow=use_arrow)
+    return F.udf(tier_function(rule), "string", useArrow=use_arrow)
 
 
 def discount_amount_pandas_udf(rates: dict[str, float] | None = None):
     """Vectorised UDF over Arrow batches: ``(double, string) -> double``."""
-    frozen = dict(DISCOUNT_RATES if rates is None else rates)
+    amounts = discount_amount_function(rates)
 
-    @F.pandas_udf("double")
     def calculate_discount_amount(spend: pd.Series, tier: pd.Series) -> pd.Series:
-        return discount_amounts(spend, tier, frozen)
+        return amounts(spend, tier)
 
-    return calculate_discount_amount
+    return F.pandas_udf(calculate_discount_amount, "double")
 
 
 def register_python_functions(spark: SparkSession, rule: TierRule = SPEND_TIERS,

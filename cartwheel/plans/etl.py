@@ -14,6 +14,7 @@ from cartwheel.config import Params
 from cartwheel.functions.rules import tier_column
 from cartwheel.operators.star import avg_of, customer_month_totals, customer_totals, with_customers
 from cartwheel.plans.sink import save_table, saved_row_count_status
+from cartwheel.session import ensure_checkpoint_dir
 from cartwheel.sources.tables import Shop
 
 DEFAULT = Params()
@@ -123,6 +124,7 @@ def run_all(spark: SparkSession, shop: Shop, params: Params = DEFAULT, show: boo
     computed once and checkpointed to ``spark.checkpoint.dir`` (shared,
     reliable storage), so the second job neither recomputes the fact joins
     nor depends on executors of the first one."""
+    ensure_checkpoint_dir(spark)
     customer_months = customer_month_totals(shop).checkpoint(eager=True)
     r1 = build_monthly_revenue_summary(spark, shop, params, customer_months=customer_months)
     r2 = build_customer_360(spark, shop, params, customer_months=customer_months)

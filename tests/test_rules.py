@@ -79,3 +79,25 @@ def test_persistent_sql_function(spark):
     assert spark.sql("SELECT fn_t.discount_tier(600.0)").first()[0] == "Platinum"
     rules.register_sql_functions(spark, SPEND_TIERS.with_thresholds(1000.0, 500.0, 100.0), database="fn_t")
     assert spark.sql("SELECT fn_t.discount_tier(600.0)").first()[0] == "Gold"      # replaced
+
+
+def test_udf_bodies_need_no_package_on_workers(tmp_path):
+    """Executors may not have this package: the shipped functions must
+    unpickle and run in a Python that cannot import it."""
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    probe = ("import pickle, sys\n"
+             "tier, amounts, domain = pickle.loads(sys.stdin.buffer.read())\n"
+             "import pandas as pd\n"
+             "print(tier(600.0), list(amounts(pd.Series([100.0]), pd.Series(['Gold']))), domain('a@b.c'))\n")
+    blob = cloudpickle.dumps((rules.tier_function(SPEND_TIERS), rules.discount_amount_function(),
+                              email.domain_function()))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", probe], input=blob, cwd=tmp_path, env=env,
+                         capture_output=True, timeout=120)
+    assert out.returncode == 0, out.stderr.decode()[-2000:]
+    assert out.stdout.decode().split() == ["Platinum", "[10.0]", "b.c"]
