@@ -22,6 +22,7 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from cartwheel.session import output_root
 
@@ -42,13 +43,16 @@ def save_table(df: DataFrame, table: str, root: str | None = None) -> str:
     location = f"{table_dir}/v-{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(location)
 
+    # parquet stores every column as nullable: declare the table that way
+    # (no footer inference needed, the frame already knows its schema)
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    if spark.catalog.tableExists(table) and spark.table(table).schema == spark.read.parquet(location).schema:
+    if spark.catalog.tableExists(table) and spark.table(table).schema == schema:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
         spark.sql(f"REFRESH TABLE {table}")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.catalog.createTable(table, path=location, source="parquet")
+        spark.catalog.createTable(table, path=location, source="parquet", schema=schema)
     prune_versions(spark, table_dir, keep=2)
     return location
 
