@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 
 from cartwheel.config import Params
 from cartwheel.functions.rules import tier_column
-from cartwheel.operators.star import avg_of, customer_month_totals, customer_totals, with_customers
+from cartwheel.operators.star import (
+    avg_of,
+    customer_month_totals,
+    customer_totals,
+    priced_lines,
+    with_customers,
+)
 from cartwheel.plans.sink import save_table, saved_row_count_status
 from cartwheel.session import ensure_checkpoint_dir
 from cartwheel.sources.tables import Shop
@@ -77,7 +83,6 @@ def customer_360(shop: Shop, params: Params = DEFAULT, customer_months: DataFram
 
 
 def _metrics_with_dates(shop: Shop) -> DataFrame:
-    from cartwheel.operators.star import priced_lines
     return priced_lines(shop).groupBy("customer_id").agg(
         F.sum("order_total").alias("revenue"), F.count("order_id").alias("n_orders"),
         F.count("order_total").alias("n_totals"),
