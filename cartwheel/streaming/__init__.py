@@ -1,8 +1,7 @@
 """Streaming.
 
 The workload this package rebuilds has no stream source, watermark, window
-or state: every job is a batch job over tables. Nothing is implemented
-here on purpose. The jobs in :mod:`cartwheel.plans.etl` take lazy frames, so
-a caller who needs incremental runs can hand them the micro-batch frame of
-``writeStream.foreachBatch``.
+or state: every job is a batch job over whole tables, and its outputs
+(monthly summary, customer 360) are full recomputations saved with
+overwrite semantics. Nothing is implemented here on purpose.
 """
