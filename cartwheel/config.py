@@ -61,6 +61,9 @@ class Params:
     sample_rows: int = 10
     raw_db: str = "raw"
     analytics_db: str = "analytics"
+    # buckets of the raw orders/customers tables on customer_id (0 = none);
+    # size it to the data: about one bucket per 128-256 MB of orders
+    raw_buckets: int = 0
 
 
 # The test tables hold TPC-H-like values (prices 900-2100, spend in the
@@ -74,6 +77,7 @@ TESTDATA_PARAMS = Params(
     category="PROMO",
     min_price=950.0,
     min_category_revenue=47_000_000.0,
+    raw_buckets=8,
 )
 
 # E-mail addresses inside document text (fixed value shared with the oracle).

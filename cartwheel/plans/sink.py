@@ -34,19 +34,35 @@ def _split(table: str) -> tuple[str, str]:
     return db, name
 
 
-def save_table(df: DataFrame, table: str, root: str | None = None) -> str:
-    """Overwrite ``db.table`` with ``df``; returns the published location."""
+def save_table(df: DataFrame, table: str, root: str | None = None,
+               bucket_by: str | None = None, buckets: int = 0) -> str:
+    """Overwrite ``db.table`` with ``df``; returns the published location.
+
+    With ``bucket_by``/``buckets`` the table is hash-bucketed (and sorted) on
+    that column, so joins and aggregations on it between tables bucketed
+    alike need no exchange."""
     spark: SparkSession = df.sparkSession
     db, name = _split(table)
     base = (root or output_root(spark)).rstrip("/")
     table_dir = f"{base}/{db}.db/{name}"
-    location = f"{table_dir}/v-{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
+    version = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
+    location = f"{table_dir}/{version}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    if bucket_by:
+        # a bucketed layout is written through a catalog table: write it under
+        # a staging name at the version directory, then rename it in
+        staging = f"{db}.{name}__{version.replace('-', '_')}"
+        (df.write.format("parquet").mode("errorifexists").option("path", location)
+           .bucketBy(buckets, bucket_by).sortBy(bucket_by).saveAsTable(staging))
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+        prune_versions(spark, table_dir, keep=2)
+        return location
     df.write.mode("errorifexists").parquet(location)
 
     # parquet stores every column as nullable: declare the table that way
     # (no footer inference needed, the frame already knows its schema)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     if spark.catalog.tableExists(table) and spark.table(table).schema == schema:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
         spark.sql(f"REFRESH TABLE {table}")

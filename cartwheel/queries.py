@@ -178,7 +178,7 @@ def run_all_jobs(spark, sf_dir):
 
 
 def load_raw_tables(spark, sf_dir):
-    raw = _load_raw_tables(spark, _shop(spark, sf_dir), P.raw_db, P.analytics_db)
+    raw = _load_raw_tables(spark, _shop(spark, sf_dir), P.raw_db, P.analytics_db, buckets=P.raw_buckets)
     return R.shop_row_counts(raw)
 
 
