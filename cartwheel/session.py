@@ -29,6 +29,25 @@ SCALE_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Size shuffles for a cluster run (pass the result as ``--conf``).
+
+    The initial shuffle partition count aims at about ``target_partition_bytes``
+    of input per partition, at least two per core. AQE then coalesces toward
+    the 128 MB advisory size, so a partition never has to hold more than a
+    bounded slice in executor memory. It is capped to keep map-output
+    metadata manageable. Scan splits stay at 128 MB."""
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    partitions = min(partitions, 200_000)
+    return {
+        **SCALE_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.files.maxPartitionBytes": "128m",
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "cartwheel", extra: dict | None = None) -> SparkSession:
     """A local session configured like the cluster one, UI off."""

@@ -101,3 +101,14 @@ def test_udf_bodies_need_no_package_on_workers(tmp_path):
                          capture_output=True, timeout=120)
     assert out.returncode == 0, out.stderr.decode()[-2000:]
     assert out.stdout.decode().split() == ["Platinum", "[10.0]", "b.c"]
+
+
+def test_cluster_conf_sizes_partitions():
+    from cartwheel.session import cluster_conf
+    big = cluster_conf(100 * 2**40, 8000)                    # 100 TB on 1000 executors x 8 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    mid = cluster_conf(10 * 2**40, 8000)
+    assert int(mid["spark.sql.shuffle.partitions"]) == 40_960
+    small = cluster_conf(2**30, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128
+    assert big["spark.sql.adaptive.enabled"] == "true"
