@@ -34,12 +34,16 @@ class TierRule:
 # tax factor:              1.08
 # filters of the tour:     region 'North'; category 'Electronics' and price > 50;
 #                          category 'Electronics' and revenue > 1000 (HAVING)
+# status lines:            'SUCCESS: Saved {rows} rows to {table}'
+#                          'Pipeline complete. {first} | {second}'
 SPEND_TIERS = TierRule((("Platinum", 500.0), ("Gold", 200.0), ("Silver", 100.0)), "Bronze", True)
 DISCOUNT_RATES: dict[str, float] = {"Platinum": 0.15, "Gold": 0.10, "Silver": 0.05, "Bronze": 0.00}
 UNKNOWN_TIER_RATE = 0.0
 PRICE_TIERS = TierRule((("Premium", 200.0), ("Standard", 50.0)), "Budget", False)
 REVENUE_TIERS = TierRule((("High", 5000.0), ("Medium", 2000.0)), "Low", False)
 TAX_FACTOR = 1.08
+SAVED_STATUS = "SUCCESS: Saved {rows} rows to {table}"
+ALL_JOBS_STATUS = "Pipeline complete. {first} | {second}"
 # --- end of fixed values ---
 
 

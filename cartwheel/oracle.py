@@ -8,7 +8,7 @@ customer part orders lineitem documents ...``).
 
 from __future__ import annotations
 
-from cartwheel.config import EMAIL_PATTERN
+from cartwheel.config import ALL_JOBS_STATUS, EMAIL_PATTERN, SAVED_STATUS
 from cartwheel.config import TESTDATA_PARAMS as P
 from cartwheel.functions.rules import tier_case_sql
 from cartwheel.plans import etl
@@ -83,12 +83,21 @@ UNION ALL SELECT 'ORDERS', COUNT(*) FROM shop_orders"""
 
 
 def _status(body: str, table: str) -> str:
-    return f"'SUCCESS: Saved ' || CAST((SELECT COUNT(*) FROM ({body})) AS VARCHAR) || ' rows to {table}'"
+    """SQL for SAVED_STATUS with the row count of ``body``."""
+    head, tail = SAVED_STATUS.format(rows="\0", table=table).split("\0")
+    return f"'{head}' || CAST((SELECT COUNT(*) FROM ({body})) AS VARCHAR) || '{tail}'"
 
 
 MONTHLY_TARGET = etl.target(P, etl.MONTHLY_SUMMARY)
 C360_TARGET = etl.target(P, etl.CUSTOMER_360)
 
+
+def _all_jobs_status() -> str:
+    """SQL for ALL_JOBS_STATUS around the two saved-status lines."""
+    head, mid, tail = ALL_JOBS_STATUS.format(first="\0", second="\0").split("\0")
+    first, second = _status(_summary(True), MONTHLY_TARGET), _status(CUSTOMER_360, C360_TARGET)
+    return f"SELECT '{head}' || {first} || '{mid}' || {second} || '{tail}' AS status"
+
 SQL: dict[str, str] = {
     "table_row_counts": ROW_COUNTS,
     "customer_names": "SELECT first_name, last_name, region FROM shop_customers",
@@ -158,9 +167,7 @@ SELECT * FROM ({CUSTOMER_360}) ORDER BY total_spend DESC, customer_id LIMIT {P.s
 SELECT first_name AS name, CAST(total_spend AS DOUBLE) AS total_spend, discount_tier
 FROM customer_tiers""",
     "call_registered_job": f"SELECT {_status(_summary(True), MONTHLY_TARGET)} AS status",
-    "run_all_jobs": f"""
-SELECT 'Pipeline complete. ' || {_status(_summary(True), MONTHLY_TARGET)} || ' | '
-       || {_status(CUSTOMER_360, C360_TARGET)} AS status""",
+    "run_all_jobs": _all_jobs_status(),
     "load_raw_tables": ROW_COUNTS,
 }
 SQL["customer_tiers_udf"] = SQL["customer_tiers_arrow_udf"] = SQL["customer_tiers"]

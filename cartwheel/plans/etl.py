@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.config import Params
+from cartwheel.config import ALL_JOBS_STATUS, Params
 from cartwheel.functions.rules import tier_column
 from cartwheel.operators.star import (
     avg_of,
@@ -136,4 +136,4 @@ def run_all(spark: SparkSession, shop: Shop, params: Params = DEFAULT, show: boo
     if show:
         monthly_summary_sample(spark, params).show()
         top_spenders(spark, params).show()
-    return f"Pipeline complete. {r1} | {r2}"
+    return ALL_JOBS_STATUS.format(first=r1, second=r2)

@@ -24,6 +24,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from cartwheel.config import SAVED_STATUS
 from cartwheel.session import output_root
 
 
@@ -92,5 +93,4 @@ def prune_versions(spark: SparkSession, table_dir: str, keep: int = 2) -> list[s
 
 def saved_row_count_status(spark: SparkSession, table: str) -> str:
     """Status line after a save: the count is read back from the table."""
-    n = spark.table(table).count()
-    return f"SUCCESS: Saved {n} rows to {table}"
+    return SAVED_STATUS.format(rows=spark.table(table).count(), table=table)
