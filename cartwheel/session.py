@@ -22,6 +22,10 @@ SCALE_CONF = {
     # may hold a third of all rows
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # plan-time broadcast checks read compressed parquet sizes; scale them
+    # up so a dimension is only broadcast when its decoded size fits (AQE's
+    # runtime check then uses the real bytes)
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # checkpoint files of frames that are no longer referenced are removed
