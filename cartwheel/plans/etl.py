@@ -36,18 +36,23 @@ def target(params: Params, name: str) -> str:
 
 # ------------------------------------------------------------------ frames
 def monthly_revenue_summary(shop: Shop, params: Params = DEFAULT, with_unique_customers: bool = True,
-                            customer_months: DataFrame | None = None) -> DataFrame:
+                            customer_months: DataFrame | None = None,
+                            approx_distinct_rsd: float | None = None) -> DataFrame:
     """Region x month: revenue, order count, mean order value, distinct
     customers (by id), revenue tier. Lines are first summed per
     (customer, month), so the customer join sees one row per customer-month,
-    not one per line."""
+    not one per line. The distinct count is exact; ``approx_distinct_rsd``
+    opts into HyperLogLog++ (``approx_count_distinct``) with that relative
+    standard deviation."""
     cm = customer_months if customer_months is not None else customer_month_totals(shop)
     per_cm = with_customers(cm, shop, "region")
     measures = [F.sum("revenue").alias("total_revenue"),
                 F.sum("n_orders").alias("order_count"),
                 F.sum("n_totals").alias("_n")]
     if with_unique_customers:
-        measures.append(F.count_distinct("customer_id").alias("unique_customers"))
+        distinct = (F.count_distinct("customer_id") if approx_distinct_rsd is None
+                    else F.approx_count_distinct("customer_id", rsd=approx_distinct_rsd))
+        measures.append(distinct.alias("unique_customers"))
     summary = per_cm.groupBy("region", "month").agg(*measures)
     cols = ["region", "month", "total_revenue", "order_count",
             avg_of("total_revenue", "_n").alias("avg_order_value")]

@@ -137,3 +137,10 @@ def test_bucketed_raw_layer_needs_no_customer_exchange(spark):
         bucketed.explain()
     text = buf.getvalue()
     assert "SortMergeJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_approx_distinct_opt_in(shop):
+    exact = {(r.region, r.month): r.unique_customers for r in etl.monthly_revenue_summary(shop, P).collect()}
+    approx = {(r.region, r.month): r.unique_customers
+              for r in etl.monthly_revenue_summary(shop, P, approx_distinct_rsd=0.01).collect()}
+    assert approx == exact          # tiny groups: HyperLogLog++ is exact here
