@@ -53,10 +53,13 @@ def save_table(df: DataFrame, table: str, root: str | None = None,
         # a bucketed layout is written through a catalog table: write it under
         # a staging name at the version directory, then rename it in
         staging = f"{db}.{name}__{version.replace('-', '_')}"
-        (df.write.format("parquet").mode("errorifexists").option("path", location)
-           .bucketBy(buckets, bucket_by).sortBy(bucket_by).saveAsTable(staging))
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+        try:
+            (df.write.format("parquet").mode("errorifexists").option("path", location)
+               .bucketBy(buckets, bucket_by).sortBy(bucket_by).saveAsTable(staging))
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+        finally:  # a failed write leaves no staging entry behind (data is external)
+            spark.sql(f"DROP TABLE IF EXISTS {staging}")
         prune_versions(spark, table_dir, keep=2)
         return location
     df.write.mode("errorifexists").parquet(location)
