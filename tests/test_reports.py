@@ -113,3 +113,15 @@ def test_invariants(shop):
     tiers = R.customer_tiers(shop, P)
     assert R.tier_summary(tiers).agg(F.sum("tier_total_spend")).first()[0] == total
     assert R.tier_counts(tiers).agg(F.sum("count")).first()[0] == tiers.count()
+
+
+def test_count_semantics(spark):
+    df = spark.createDataFrame([("a",), (None,)], "v string")
+    got = df.agg(F.count("v"), F.count(F.lit(1)), F.count_distinct("v")).first()
+    assert tuple(got) == (1, 2, 1)
+
+
+def test_desc_sort_puts_null_revenue_last(messy_shop):
+    got = rows(R.revenue_by_region(messy_shop))
+    assert got[-1][0] is None and got[-1][1] is None          # region NULL: all its totals are NULL
+    assert [r[1] for r in got[:-1]] == sorted((r[1] for r in got[:-1]), reverse=True)
