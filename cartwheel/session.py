@@ -33,6 +33,13 @@ SCALE_CONF = {
 }
 
 
+# Local runs only: tiny shuffles would otherwise be coalesced below one task
+# per core (the default 1 MB floor), serialising the reduce side.
+LOCAL_CONF = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+}
+
+
 def cluster_conf(input_bytes: int, total_cores: int,
                  target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Size shuffles for a cluster run (pass the result as ``--conf``).
@@ -46,6 +53,9 @@ def cluster_conf(input_bytes: int, total_cores: int,
     partitions = min(partitions, 200_000)
     return {
         **SCALE_CONF,
+        # on a shared cluster coalesce to the advisory size, not to maximum
+        # parallelism (fewer, fuller tasks)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.files.maxPartitionBytes": "128m",
@@ -63,7 +73,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
     )
-    for key, value in {**SCALE_CONF, **(extra or {})}.items():
+    for key, value in {**SCALE_CONF, **LOCAL_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
