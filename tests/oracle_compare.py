@@ -9,7 +9,7 @@ from collections import Counter
 
 import duckdb
 
-ROUND = True
+ROUND = False  # exact equality (set True to compare floats to 12 significant digits)
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
