@@ -45,11 +45,16 @@ def main() -> None:
         extra={"spark.sql.warehouse.dir": f"{scratch}/warehouse",
                "spark.checkpoint.dir": f"{scratch}/checkpoints"})
 
+    errors: dict[str, str] = {}
     for name in names:  # warm-up: JIT, Python workers, file listing caches
-        run_once(spark, QUERIES[name], sf_dir)
-    timings: dict[str, list[float]] = {name: [] for name in names}
+        try:
+            run_once(spark, QUERIES[name], sf_dir)
+        except Exception as exc:  # keep timing the others; report the failure
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+    ok = [n for n in names if n not in errors]
+    timings: dict[str, list[float]] = {name: [] for name in ok}
     for _ in range(runs):
-        for name in names:
+        for name in ok:
             timings[name].append(run_once(spark, QUERIES[name], sf_dir))
     per_query = {name: round(statistics.median(ts), 4) for name, ts in timings.items()}
     headline = {n: per_query[n] for n in HEADLINE if n in per_query}
@@ -66,6 +71,7 @@ def main() -> None:
         "shuffle_partitions": cpus * 2,
         "spark": spark.version,
         "python": sys.version.split()[0],
+        "errors": errors,
     }))
     spark.stop()
 
