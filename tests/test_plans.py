@@ -60,3 +60,24 @@ def test_summary_aggregates_before_customer_join(td):
     # the (customer, month) partial aggregate sits below the join to customer
     join_at = text.find("Join")
     assert "partial_sum" in text[join_at:], "line totals must be summed below the customer join"
+
+
+def test_fact_join_is_never_broadcast(td):
+    # orders is small at sf0.01, yet the fact-to-fact join stays sort-merge
+    text = plan(R.customer_spend(td))
+    assert "SortMergeJoin [l_orderkey" in text
+
+
+def test_at_scale_plan_shape(spark):
+    """Dimensions too big to broadcast (as at 100 TB): every join is a
+    sort-merge join except the one bounded broadcast, nation ⨝ region."""
+    s = spark.newSession()
+    s.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    s.conf.set("spark.sql.adaptive.enabled", "false")
+    shop = from_testdata(s, SF001, reuse=False)
+    for df in (R.revenue_by_region(shop), etl.monthly_revenue_summary(shop, P), R.top_products(shop, P)):
+        text = plan(df)
+        assert text.count("BroadcastExchange") == 1, text
+        assert text.count("BroadcastHashJoin") == 1 and "SortMergeJoin" in text
+        bhj = [line for line in text.splitlines() if "BroadcastHashJoin" in line][0]
+        assert "c_nationkey" in bhj and "n_nationkey" in bhj
