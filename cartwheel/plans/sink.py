@@ -60,7 +60,7 @@ def save_table(df: DataFrame, table: str, root: str | None = None,
             spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
         finally:  # a failed write leaves no staging entry behind (data is external)
             spark.sql(f"DROP TABLE IF EXISTS {staging}")
-        prune_versions(spark, table_dir, keep=2)
+        prune_versions(spark, table_dir, keep=2, protect=location)
         return location
     df.write.mode("errorifexists").parquet(location)
 
@@ -73,13 +73,15 @@ def save_table(df: DataFrame, table: str, root: str | None = None,
     else:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.catalog.createTable(table, path=location, source="parquet", schema=schema)
-    prune_versions(spark, table_dir, keep=2)
+    prune_versions(spark, table_dir, keep=2, protect=location)
     return location
 
 
-def prune_versions(spark: SparkSession, table_dir: str, keep: int = 2) -> list[str]:
+def prune_versions(spark: SparkSession, table_dir: str, keep: int = 2,
+                   protect: str | None = None) -> list[str]:
     """Delete all but the newest ``keep`` version directories of a table
-    (Hadoop FileSystem of the session, so it works on any shared store)."""
+    (Hadoop FileSystem of the session, so it works on any shared store).
+    ``protect`` (the just-published location) is never deleted."""
     jvm = getattr(spark, "_jvm", None) or spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(table_dir)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -88,7 +90,8 @@ def prune_versions(spark: SparkSession, table_dir: str, keep: int = 2) -> list[s
     versions = sorted((st.getPath() for st in fs.listStatus(path)
                        if st.isDirectory() and st.getPath().getName().startswith("v-")),
                       key=lambda p: p.getName())
-    doomed = versions[:-keep] if keep > 0 else versions
+    keep_name = protect.rstrip("/").rsplit("/", 1)[-1] if protect else None
+    doomed = [p for p in (versions[:-keep] if keep > 0 else versions) if p.getName() != keep_name]
     for p in doomed:
         fs.delete(p, True)
     return [p.toString() for p in doomed]
