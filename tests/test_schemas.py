@@ -1,0 +1,112 @@
+"""Output schemas of every registered query are pinned (the driver checks
+schema stability; a silent type change would break the oracle match)."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import SF0001
+
+import __spark_entry__ as contract
+
+SCHEMAS = {'table_row_counts': [('table_name', 'string'), ('row_count', 'bigint')],
+ 'customer_names': [('first_name', 'string'), ('last_name', 'string'), ('region', 'string')],
+ 'price_with_tax': [('product_name', 'string'), ('unit_price', 'double'), ('price_with_tax', 'double')],
+ 'customers_in_region': [('customer_id', 'bigint'),
+                         ('first_name', 'string'),
+                         ('last_name', 'string'),
+                         ('region', 'string')],
+ 'expensive_in_category': [('product_name', 'string'), ('unit_price', 'double')],
+ 'price_tier': [('product_name', 'string'), ('unit_price', 'double'), ('price_tier', 'string')],
+ 'order_details': [('order_id', 'bigint'),
+                   ('first_name', 'string'),
+                   ('region', 'string'),
+                   ('product_name', 'string'),
+                   ('category', 'string'),
+                   ('quantity', 'int'),
+                   ('order_total', 'double'),
+                   ('order_date', 'date')],
+ 'revenue_by_region': [('region', 'string'),
+                       ('total_revenue', 'double'),
+                       ('order_count', 'bigint'),
+                       ('avg_order_value', 'double')],
+ 'monthly_revenue': [('month', 'date'), ('revenue', 'double'), ('unique_customers', 'bigint')],
+ 'top_products': [('product_name', 'string'), ('total_revenue', 'double')],
+ 'category_revenue_by_region': [('region', 'string'), ('revenue', 'double'), ('num_orders', 'bigint')],
+ 'customer_spend': [('customer_id', 'bigint'), ('total_spend', 'double')],
+ 'customer_tiers': [('first_name', 'string'),
+                    ('last_name', 'string'),
+                    ('region', 'string'),
+                    ('total_spend', 'double'),
+                    ('discount_tier', 'string')],
+ 'customer_tiers_udf': [('first_name', 'string'),
+                        ('last_name', 'string'),
+                        ('region', 'string'),
+                        ('total_spend', 'double'),
+                        ('discount_tier', 'string')],
+ 'customer_tiers_arrow_udf': [('first_name', 'string'),
+                              ('last_name', 'string'),
+                              ('region', 'string'),
+                              ('total_spend', 'double'),
+                              ('discount_tier', 'string')],
+ 'tier_summary': [('discount_tier', 'string'), ('tier_total_spend', 'double')],
+ 'tier_counts': [('discount_tier', 'string'), ('count', 'bigint')],
+ 'email_domain': [('doc_id', 'bigint'), ('email', 'string'), ('domain', 'string')],
+ 'email_domain_udf': [('doc_id', 'bigint'), ('email', 'string'), ('domain', 'string')],
+ 'customer_discounts': [('first_name', 'string'),
+                        ('total_spend', 'double'),
+                        ('discount_tier', 'string'),
+                        ('discount_amount', 'double')],
+ 'customer_discounts_native': [('first_name', 'string'),
+                               ('total_spend', 'double'),
+                               ('discount_tier', 'string'),
+                               ('discount_amount', 'double')],
+ 'monthly_revenue_summary': [('region', 'string'),
+                             ('month', 'date'),
+                             ('total_revenue', 'double'),
+                             ('order_count', 'bigint'),
+                             ('avg_order_value', 'double'),
+                             ('unique_customers', 'bigint'),
+                             ('revenue_tier', 'string')],
+ 'monthly_revenue_summary_basic': [('region', 'string'),
+                                   ('month', 'date'),
+                                   ('total_revenue', 'double'),
+                                   ('order_count', 'bigint'),
+                                   ('avg_order_value', 'double'),
+                                   ('revenue_tier', 'string')],
+ 'customer_360': [('customer_id', 'bigint'),
+                  ('first_name', 'string'),
+                  ('last_name', 'string'),
+                  ('region', 'string'),
+                  ('total_spend', 'double'),
+                  ('order_count', 'bigint'),
+                  ('avg_order_value', 'double'),
+                  ('discount_tier', 'string')],
+ 'monthly_summary_sample': [('region', 'string'),
+                            ('month', 'date'),
+                            ('total_revenue', 'double'),
+                            ('order_count', 'bigint'),
+                            ('avg_order_value', 'double'),
+                            ('unique_customers', 'bigint'),
+                            ('revenue_tier', 'string')],
+ 'top_spenders': [('customer_id', 'bigint'),
+                  ('first_name', 'string'),
+                  ('last_name', 'string'),
+                  ('region', 'string'),
+                  ('total_spend', 'double'),
+                  ('order_count', 'bigint'),
+                  ('avg_order_value', 'double'),
+                  ('discount_tier', 'string')],
+ 'tier_lookup_sql': [('name', 'string'), ('total_spend', 'double'), ('discount_tier', 'string')],
+ 'call_registered_job': [('status', 'string')],
+ 'run_all_jobs': [('status', 'string')],
+ 'load_raw_tables': [('table_name', 'string'), ('row_count', 'bigint')]}
+
+
+def test_every_query_is_pinned():
+    assert set(SCHEMAS) == set(contract.queries())
+
+
+@pytest.mark.parametrize("name", sorted(SCHEMAS))
+def test_output_schema(spark, name):
+    df = contract.queries()[name](spark, SF0001)
+    assert [tuple(x) for x in df.dtypes] == SCHEMAS[name]
