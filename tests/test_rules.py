@@ -112,3 +112,33 @@ def test_cluster_conf_sizes_partitions():
     small = cluster_conf(2**30, 64)
     assert int(small["spark.sql.shuffle.partitions"]) == 128
     assert big["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_linear_email_pattern_matches_original(spark):
+    """The linear-time pattern finds exactly what the portable one finds
+    (both run by Spark's Java regex; Python's re as a third opinion)."""
+    import random
+    import re
+
+    from cartwheel.config import EMAIL_PATTERN
+
+    rng = random.Random(7)
+    alphabet = "ab1.-_%+@@ X=.z"
+    texts = ["x@a.bc1y@d.ef", "a@b.cc.d@e.ff", "aa@bb@cc.dd", "@@a@b.cd", "a.b@c.d.ee.f@g.hh",
+             "q@w.er" * 5, "x" * 300 + "@" + "y" * 300, "a@" + ".b" * 200, ""]
+    texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(4000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = df.select("i", email.emails_in("text").alias("fast"),
+                    email.emails_in("text", EMAIL_PATTERN).alias("plain")).collect()
+    for row in got:
+        expected = re.findall(EMAIL_PATTERN, texts[row.i])
+        assert row.fast == row.plain == expected, texts[row.i]
+
+
+def test_linear_email_pattern_on_long_runs(spark):
+    import time
+    text = "write to a@b.cc " + "x" * 200_000 + " or " + "y" * 100_000 + "@"
+    df = spark.createDataFrame([(text,)], "text string")
+    t0 = time.perf_counter()
+    assert df.select(email.emails_in("text")).first()[0] == ["a@b.cc"]
+    assert time.perf_counter() - t0 < 30      # the portable pattern needs many minutes here
