@@ -140,22 +140,29 @@ def _spend_with_customer(shop: Shop) -> DataFrame:
     spend = customer_spend(shop)
     c = shop.customers
     return spend.join(c, spend["customer_id"] == c["customer_id"]).select(
-        c["first_name"], c["last_name"], c["region"], spend["total_spend"])
+        c["customer_id"], c["first_name"], c["last_name"], c["region"], spend["total_spend"])
+
+
+def _biggest_spend_first(df: DataFrame) -> DataFrame:
+    """Spend descending. customer_id breaks ties: a global sort range-partitions
+    on its keys and cannot split one hot value (say a third of all customers
+    with the same spend) across tasks; the tie-breaker lets it. Dropped after."""
+    return df.orderBy(F.col("total_spend").desc(), F.col("customer_id")).drop("customer_id")
 
 
 def customer_tiers(shop: Shop, params: Params = DEFAULT) -> DataFrame:
     """Spend joined to the customer, with the native tier CASE, biggest first."""
-    return (_spend_with_customer(shop)
-            .withColumn("discount_tier", tier_column("total_spend", params.spend_tiers))
-            .orderBy(F.col("total_spend").desc()))
+    return _biggest_spend_first(
+        _spend_with_customer(shop)
+        .withColumn("discount_tier", tier_column("total_spend", params.spend_tiers)))
 
 
 def customer_tiers_udf(shop: Shop, params: Params = DEFAULT, use_arrow: bool = False) -> DataFrame:
     """Same as :func:`customer_tiers` through the Python UDF twin."""
     tier = tier_udf(params.spend_tiers, use_arrow=use_arrow)
-    return (_spend_with_customer(shop)
-            .withColumn("discount_tier", tier(F.col("total_spend").cast("double")))
-            .orderBy(F.col("total_spend").desc()))
+    return _biggest_spend_first(
+        _spend_with_customer(shop)
+        .withColumn("discount_tier", tier(F.col("total_spend").cast("double"))))
 
 
 def tier_summary(tiers: DataFrame) -> DataFrame:
@@ -174,9 +181,12 @@ def customer_discounts(tiers: DataFrame, params: Params = DEFAULT, vectorised: b
         amount = discount_amount_pandas_udf(params.discount_rates)(spend, F.col("discount_tier"))
     else:
         amount = discount_amount_column(spend, "discount_tier", params.discount_rates)
+    # every Bronze customer has amount 0.0: spend and name break the ties so
+    # the range-partitioned sort can spread that hot value over many tasks
     return (tiers.withColumn("discount_amount", amount)
                  .select("first_name", "total_spend", "discount_tier", "discount_amount")
-                 .orderBy(F.col("discount_amount").desc()))
+                 .orderBy(F.col("discount_amount").desc(), F.col("total_spend").desc(),
+                          F.col("first_name")))
 
 
 # ------------------------------------------------------------------ e-mail

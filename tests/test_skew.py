@@ -63,3 +63,15 @@ def test_hot_customer_aggregates_exact(skewed):
     assert hot_lines > LINES // 3
     hot = R.customer_spend(skewed).filter("customer_id = 1").first().total_spend
     assert hot == Decimal("1.50") * hot_lines
+
+
+def test_hot_sort_values_have_tie_breakers(shop):
+    from cartwheel.config import Params
+    tiers = R.customer_tiers(shop, Params())
+    text = plan(tiers)
+    sort_line = [line for line in text.splitlines() if "Sort [total_spend" in line][0]
+    assert "customer_id" in sort_line
+    assert tiers.columns == ["first_name", "last_name", "region", "total_spend", "discount_tier"]
+    text = plan(R.customer_discounts(tiers, Params(), vectorised=False))
+    sort_line = [line for line in text.splitlines() if "Sort [discount_amount" in line][0]
+    assert "total_spend" in sort_line
