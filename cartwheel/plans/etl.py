@@ -19,8 +19,7 @@ from cartwheel.operators.star import (
     priced_lines,
     with_customers,
 )
-from cartwheel.plans.sink import save_table, saved_row_count_status
-from cartwheel.session import ensure_checkpoint_dir
+from cartwheel.plans.sink import materialize, remove_path, save_table, saved_row_count_status
 from cartwheel.sources.tables import Shop
 
 DEFAULT = Params()
@@ -130,14 +129,17 @@ def top_spenders(spark: SparkSession, params: Params = DEFAULT) -> DataFrame:
 def run_all(spark: SparkSession, shop: Shop, params: Params = DEFAULT, show: bool = False) -> str:
     """Run both jobs, fail-fast, and return the joined status.
 
-    Both outputs derive from the per-(customer, month) totals; those are
-    computed once and checkpointed to ``spark.checkpoint.dir`` (shared,
-    reliable storage), so the second job neither recomputes the fact joins
-    nor depends on executors of the first one."""
-    ensure_checkpoint_dir(spark)
-    customer_months = customer_month_totals(shop).checkpoint(eager=True)
-    r1 = build_monthly_revenue_summary(spark, shop, params, customer_months=customer_months)
-    r2 = build_customer_360(spark, shop, params, customer_months=customer_months)
+    Both outputs derive from the per-(customer, month) totals. Those are
+    computed once and written as parquet under ``spark.checkpoint.dir``
+    (shared, reliable storage), so the second job neither recomputes the
+    fact joins nor depends on executors of the first one. The intermediate
+    is removed when both jobs are done."""
+    customer_months, path = materialize(customer_month_totals(shop), "customer_months")
+    try:
+        r1 = build_monthly_revenue_summary(spark, shop, params, customer_months=customer_months)
+        r2 = build_customer_360(spark, shop, params, customer_months=customer_months)
+    finally:
+        remove_path(spark, path)
     if show:
         monthly_summary_sample(spark, params).show()
         top_spenders(spark, params).show()

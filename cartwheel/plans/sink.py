@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cartwheel.config import SAVED_STATUS
-from cartwheel.session import output_root
+from cartwheel.session import ensure_checkpoint_dir, output_root
 
 
 def _split(table: str) -> tuple[str, str]:
@@ -82,7 +82,7 @@ def prune_versions(spark: SparkSession, table_dir: str, keep: int = 2,
     """Delete all but the newest ``keep`` version directories of a table
     (Hadoop FileSystem of the session, so it works on any shared store).
     ``protect`` (the just-published location) is never deleted."""
-    jvm = getattr(spark, "_jvm", None) or spark.sparkContext._jvm
+    jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(table_dir)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
@@ -97,6 +97,24 @@ def prune_versions(spark: SparkSession, table_dir: str, keep: int = 2,
     return [p.toString() for p in doomed]
 
 
+def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Cut lineage: write ``df`` as parquet under the cluster's
+    ``spark.checkpoint.dir`` (shared storage) and return the re-read frame
+    with its path. Columnar, compressed and read back vectorised, unlike
+    row-serialised RDD checkpoint blocks."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path), path
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` through the session's Hadoop FileSystem."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+
+
 def saved_row_count_status(spark: SparkSession, table: str) -> str:
     """Status line after a save: the count is read back from the table."""
     return SAVED_STATUS.format(rows=spark.table(table).count(), table=table)

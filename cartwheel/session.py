@@ -28,7 +28,8 @@ SCALE_CONF = {
     "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # checkpoint files of frames that are no longer referenced are removed
+    # RDD checkpoints (if any) are compressed and cleaned once unreferenced
+    "spark.checkpoint.compress": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 

@@ -144,3 +144,14 @@ def test_approx_distinct_opt_in(shop):
     approx = {(r.region, r.month): r.unique_customers
               for r in etl.monthly_revenue_summary(shop, P, approx_distinct_rsd=0.01).collect()}
     assert approx == exact          # tiny groups: HyperLogLog++ is exact here
+
+
+def test_run_all_shares_and_removes_its_intermediate(spark, shop):
+    import os
+
+    from cartwheel.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    assert etl.run_all(spark, shop, P).startswith("Pipeline complete. SUCCESS: Saved 8 rows")
+    after = set(os.listdir(base)) if os.path.isdir(base) else set()
+    assert not {d for d in after - before if d.startswith("customer_months-")}
