@@ -16,11 +16,11 @@ from pyspark.sql import SparkSession
 from cartwheel.config import TESTDATA_PARAMS
 from cartwheel.plans import etl
 from cartwheel.queries import QUERIES, job_registry
-from cartwheel.session import SCALE_CONF, ensure_checkpoint_dir, local_session
+from cartwheel.session import SCALE_CONF, cluster_conf, ensure_checkpoint_dir, local_session
 from cartwheel.sources.tables import from_testdata
 
 
-def _session(local: bool) -> SparkSession:
+def _session(local: bool, data: str) -> SparkSession:
     if local:
         return local_session()
     builder = SparkSession.builder.appName("cartwheel")
@@ -28,9 +28,24 @@ def _session(local: bool) -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
+    if not spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        # no --conf given: size shuffles from the input volume and the cores
+        # the cluster gave us
+        sizing = cluster_conf(input_bytes(spark, data), spark.sparkContext.defaultParallelism)
+        for key in ("spark.sql.shuffle.partitions",
+                    "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                    "spark.sql.adaptive.coalescePartitions.parallelismFirst"):
+            spark.conf.set(key, sizing[key])
     return spark
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (Hadoop FileSystem summary)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
+
 def main(argv: list[str] | None = None) -> str:
     ap = argparse.ArgumentParser(prog="cartwheel")
     ap.add_argument("command", choices=["run-all", "job", "query"])
@@ -40,7 +55,7 @@ def main(argv: list[str] | None = None) -> str:
     ap.add_argument("--out", help="for 'query': write the result as parquet here")
     args = ap.parse_args(argv)
 
-    spark = _session(args.local)
+    spark = _session(args.local, args.data)
     if args.command == "run-all":
         result = etl.run_all(spark, from_testdata(spark, args.data), TESTDATA_PARAMS, show=True)
     elif args.command == "job":

@@ -14,3 +14,8 @@ def test_cli_job_and_query(spark, tmp_path):
     assert main(["query", "revenue_by_region", "--data", SF0001, "--out", str(out)]) == \
         f"wrote revenue_by_region to {out}"
     assert spark.read.parquet(str(out)).count() == 5
+
+
+def test_input_bytes_counts_the_data_dir(spark):
+    from cartwheel.__main__ import input_bytes
+    assert input_bytes(spark, SF0001) > 0
