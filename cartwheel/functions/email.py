@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cartwheel.config import EMAIL_PATTERN
 
 
 def domain_column(email: Column | str) -> Column:
@@ -54,6 +53,6 @@ EMAIL_PATTERN_LINEAR = (r"(?:\G|(?<![A-Za-z0-9._%+-]))"
 
 def emails_in(text: Column | str, pattern: str = EMAIL_PATTERN_LINEAR) -> Column:
     """All non-overlapping matches of ``pattern`` in the whole text, in order
-    (by default the linear-time form of :data:`EMAIL_PATTERN`)."""
+    (by default the linear-time form of ``cartwheel.config.EMAIL_PATTERN``)."""
     t = F.col(text) if isinstance(text, str) else text
     return F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
