@@ -12,7 +12,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-
 def domain_column(email: Column | str) -> Column:
     """Native twin of :func:`domain_of`. ``split`` keeps trailing empty
     fields, so ``x@`` gives ``''``; the ``contains`` guard keeps index 1
