@@ -81,3 +81,11 @@ def test_at_scale_plan_shape(spark):
         assert text.count("BroadcastHashJoin") == 1 and "SortMergeJoin" in text
         bhj = [line for line in text.splitlines() if "BroadcastHashJoin" in line][0]
         assert "c_nationkey" in bhj and "n_nationkey" in bhj
+
+
+def test_map_only_queries_have_no_exchange(spark, td):
+    from cartwheel.sources.tables import read_table
+    for df in (R.document_email_domains(read_table(spark, SF001, "documents")), R.customer_names(td),
+               R.price_tiers(td, P)):
+        text = plan(df)
+        assert "Exchange hashpartitioning" not in text and "Exchange rangepartitioning" not in text
