@@ -23,11 +23,13 @@ def duckdb_connection(sf_dir: str):
 
 
 def _norm(v):
+    """Value plus its Python type, so an int/float or date/str mismatch
+    between the engines fails even where the values compare equal."""
     if isinstance(v, float):
         if math.isnan(v):
-            return "nan"
-        return float(f"{v:.12g}") if ROUND else v
-    return v
+            return ("float", "nan")
+        return ("float", float(f"{v:.12g}") if ROUND else v)
+    return (type(v).__name__, v)
 
 
 def _rows(cols, rows):
