@@ -26,6 +26,17 @@ HEADLINE = ["revenue_by_region", "top_products", "monthly_revenue_summary", "cus
             "customer_tiers", "customer_tiers_udf", "customer_discounts"]
 
 
+def commit_id() -> str | None:
+    """The measured code's git commit, for comparing numbers across rounds."""
+    import subprocess
+    try:
+        out = subprocess.run(["git", "rev-parse", "--short", "HEAD"], capture_output=True, text=True,
+                             cwd=os.path.dirname(os.path.abspath(__file__)), timeout=10)
+        return out.stdout.strip() or None
+    except (OSError, subprocess.SubprocessError):
+        return None
+
+
 def run_once(spark, fn, sf_dir: str) -> float:
     t0 = time.perf_counter()
     fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -72,6 +83,7 @@ def main() -> None:
         "spark": spark.version,
         "python": sys.version.split()[0],
         "errors": errors,
+        "commit": commit_id(),
     }))
     spark.stop()
 
