@@ -136,8 +136,8 @@ def divide_skip(index: list[np.ndarray], queries: list[np.ndarray], p: JaccardPa
         n = len(s)
         need = int(p.needed(n))
         at = np.searchsorted(vocab, s)
-        at = at[(at < len(vocab))]
-        at = at[np.isin(vocab[at], s, assume_unique=False)]
+        at[at == len(vocab)] = 0
+        at = at[vocab[at] == s]
         if len(at) < need:
             continue
         length = end[at] - start[at]
