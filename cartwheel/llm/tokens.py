@@ -35,13 +35,13 @@ def default_tokenizer() -> str:
 class CachedTokenizer:
     """text -> packed little-endian uint32 ids; memory bounded by the limits."""
 
-    def __init__(self, path: str, max_parts: int = 150_000, max_words: int = 300_000):
+    def __init__(self, vocabulary: str, max_parts: int = 300_000, max_words: int = 600_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_str(vocabulary)
         self.model = self.tokenizer.model
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.parts: dict[str, bytes] = {}
@@ -90,10 +90,14 @@ def piece_rows(docs: DataFrame, path: str | None, capacity: int, end_id: int, wi
     """``doc_id, piece, start, length, ids_crc32`` (and ``ids``) of every text."""
     schema = pa.schema(_PIECES + [("ids", pa.binary())] * with_ids)
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    path = path or default_tokenizer()
+    # the vocabulary (a constant of a few MB) travels with the code: executors
+    # need no such file
+    with open(path or default_tokenizer(), encoding="utf-8") as f:
+        vocabulary = f.read()
+    name = f"tokenizer {zlib.crc32(vocabulary.encode())}"
 
     def of(batches):
-        tok = process_cache(f"tokenizer {path}", lambda: CachedTokenizer(path))
+        tok = process_cache(name, lambda: CachedTokenizer(vocabulary))
         close = int(end_id).to_bytes(4, "little")
 
         def out():
