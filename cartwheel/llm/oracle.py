@@ -1,5 +1,114 @@
-"""DuckDB SQL for the operators' queries that SQL can express."""
+"""DuckDB SQL for the operators' queries that SQL can express, written the
+plain way: whole windows as strings, pairs by joins, components by recursion.
+
+No SQL: packing and SentencePiece (token ids), language ID (compression),
+fingerprints (piecewise hashes) and quality rules (isolation forest); the tests
+hold those against brute-force versions, round trips or held-out accuracy.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = r"[^\x20\x09-\x0D]+"
+_LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+# the licence scan's notices, phrases and thresholds, spelled out once more
+_NOTICES = """
+    ('mit', 0, 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction'),
+    ('apache', 1, 'licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license'),
+    ('gpl', 2, 'this work is licensed under the gnu general public license version 3'),
+    ('lgpl', 3, 'licensed under the gnu lesser general public license'),
+    ('bsd', 4, 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met'),
+    ('mpl', 5, 'this source code form is subject to the terms of the mozilla public license'),
+    ('cc-by-nc', 6, 'licensed under cc by nc 4 0'),
+    ('cc-by-sa', 7, 'licensed under cc by sa 4 0'),
+    ('cc-by', 8, 'licensed under a creative commons attribution 4 0 international license')
+"""
+
+OP3 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_LICENSE_WORD}') AS w FROM documents),
+p AS (SELECT r, unnest(w) AS a, generate_subscripts(w, 1) - 1 AS at FROM d),
+g AS (SELECT r, at, a, lead(a) OVER (PARTITION BY r ORDER BY at) AS b, lead(a, 2) OVER (PARTITION BY r ORDER BY at) AS c FROM p),
+base AS (
+    SELECT r, at, CASE WHEN a = 'mit' THEN 'mit' WHEN a = 'apache' THEN 'apache' ELSE 'gpl' END AS label FROM g
+    WHERE (a IN ('mit', 'apache') AND b = 'license') OR (a = 'general' AND b = 'public' AND c = 'license')),
+t AS (SELECT label, tid, string_split(body, ' ') AS w FROM (VALUES {_NOTICES}) AS n(label, tid, body)),
+tw AS (SELECT label, tid, len(w) - 2 AS windows, i - 1 AS place, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+       FROM t, unnest(generate_series(1, len(w) - 2)) AS s(i)),
+votes AS (SELECT r, tid, label, windows, at - place AS diagonal, list(DISTINCT place) AS places
+          FROM g JOIN tw USING (a, b, c) GROUP BY ALL),
+runs AS (SELECT *, sum(jump) OVER (PARTITION BY r, tid ORDER BY diagonal) AS run FROM (
+    SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, tid ORDER BY diagonal) <= 3 THEN 0 ELSE 1 END AS jump FROM votes)),
+found AS (SELECT r, label, CAST(len(list_distinct(flatten(list(places)))) AS DOUBLE) / windows AS coverage
+          FROM runs GROUP BY r, tid, label, windows, run HAVING coverage >= 0.6),
+b AS (SELECT r, count(*) AS n, min(at) AS lo, max(at) AS hi, list(DISTINCT label) AS labels FROM base GROUP BY r),
+f AS (SELECT r, max(coverage) AS best, list(DISTINCT label) AS labels FROM found GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, CAST(lo AS BIGINT) AS first_word, CAST(hi AS BIGINT) AS last_word,
+       coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ','), '') AS labels,
+       CASE WHEN n > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN f USING (r)
+"""
+
+OP4 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents),
+s AS (
+    SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS x FROM d, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS g(i) WHERE len(w) > 0),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+links AS (
+    SELECT a.r AS a, b.r AS b FROM s a JOIN s b ON a.x = b.x AND a.r <> b.r JOIN n na ON na.r = a.r JOIN n nb ON nb.r = b.r
+    GROUP BY a.r, b.r, na.n, nb.n HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))),
+reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM d LEFT JOIN n USING (r) JOIN reach ON reach.a = d.r JOIN d o ON o.r = reach.b
+GROUP BY d.r, d.doc_id
+"""
+
+# the template's control strings, as a regular expression
+_CONTROL = r"<</?SYS>>|\[/?INST\]|</?s>|<\|[^|<>\[\]]*\|>"
+
+OP5 = rf"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (SELECT *, regexp_replace(regexp_replace(text, '(\\*)({_CONTROL})', '\1\1\\\2', 'g'), '(\\+)\z', '\1\1') AS body,
+             CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE length(role) + 11 END AS marks FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(body) + marks) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+OP7 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+win AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS x FROM d, unnest(generate_series(1, len(w) - 34)) AS g(i) WHERE len(w) >= 35),
+twice AS (SELECT x FROM win GROUP BY x HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, j FROM win JOIN twice USING (x), unnest(generate_series(i, i + 34)) AS g(j)),
+p AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d),
+k AS (SELECT r, count(gone.j) AS n, string_agg(word, ' ' ORDER BY j) FILTER (gone.j IS NULL) AS kept FROM p LEFT JOIN gone USING (r, j) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
+OP8 = r"""
+WITH u AS (
+    SELECT row_number() OVER () AS r, page_id,
+           translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages),
+rules(h, p, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+fit AS (
+    SELECT r, h || p AS rule, v, row_number() OVER (PARTITION BY r ORDER BY length(h) + length(p) DESC) AS k
+    FROM u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JOIN (SELECT * FROM fit WHERE k = 1) USING (r)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_license_scan": OP3,
+    "op4_jaccard_join": OP4,
+    "op5_chat_format": OP5,
+    "op7_substring_dedup": OP7,
+    "op8_url_filter": OP8,
+}

@@ -23,11 +23,31 @@ def op1_packing(spark, sf_dir):
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark, sf_dir):
+    from cartwheel.llm.pieces import encode_documents
+    return encode_documents(_table(spark, sf_dir, "documents"))
+
+
+def op3_license_scan(spark, sf_dir):
+    from cartwheel.llm.licenses import scan
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard_join(spark, sf_dir):
     from cartwheel.llm.jaccard import similarity_classes
     return similarity_classes(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+#: a conversation of control strings, formatted like the table's own
+PROBE = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op5_chat_format(spark, sf_dir):
+    from cartwheel.llm.chat import build_forest, read_back
+    probe = spark.createDataFrame(PROBE, "conv_id long, turn long, role string, text string")
+    return read_back(build_forest(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)))
+
+
 def op6_language_id(spark, sf_dir):
     from cartwheel.llm import langid
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -42,6 +62,22 @@ def op7_substring_dedup(spark, sf_dir):
     return digests(_table(spark, sf_dir, "documents"))
 
 
+#: (host, path, verdict)
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op8_url_filter(spark, sf_dir):
+    from cartwheel.llm.urlfilter import RULES_SCHEMA, match_rules
+    rules = spark.createDataFrame(URL_RULES, RULES_SCHEMA)
+    return match_rules(_table(spark, sf_dir, "pages").select("page_id", "url"), rules) \
+        .select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_fingerprints(spark, sf_dir):
+    from cartwheel.llm.fingerprint import fingerprints
+    return fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark, sf_dir):
     from cartwheel.llm import quality
     stats = quality.document_statistics(_table(spark, sf_dir, "documents"))
@@ -52,8 +88,13 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_license_scan": op3_license_scan,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_chat_format": op5_chat_format,
     "op6_language_id": op6_language_id,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_url_filter": op8_url_filter,
+    "op9_fingerprints": op9_fingerprints,
     "op10_quality_rules": op10_quality_rules,
 }
