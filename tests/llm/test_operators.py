@@ -482,6 +482,7 @@ def test_code_runs_in_workers_without_the_package():
 
     from pyspark import cloudpickle
 
-    blob = cloudpickle.dumps(lambda t: (jaccard.shingles(t.split(), jaccard.WordHashes(), 5).tolist(), quality.repeat_words))
-    code = "import sys, pickle; f = pickle.loads(sys.stdin.buffer.read()); assert f(b'a b c d e f'); assert 'cartwheel' not in sys.modules"
+    blob = cloudpickle.dumps((jaccard.shingles, jaccard.WordHashes, quality.features))
+    code = ("import sys, pickle; f, h, q = pickle.loads(sys.stdin.buffer.read()); assert len(f(b'a b c d e f'.split(), h(), 5)) == 2; "
+            "assert q('a b', h())[0] == 2; assert 'cartwheel' not in sys.modules")
     subprocess.run([sys.executable, "-c", code], input=blob, check=True, cwd="/", env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
