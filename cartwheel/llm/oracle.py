@@ -27,21 +27,21 @@ _NOTICES = """
 
 OP3 = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_LICENSE_WORD}') AS w FROM documents),
-p AS (SELECT r, unnest(w) AS a, generate_subscripts(w, 1) - 1 AS at FROM d),
-g AS (SELECT r, at, a, lead(a) OVER (PARTITION BY r ORDER BY at) AS b, lead(a, 2) OVER (PARTITION BY r ORDER BY at) AS c FROM p),
+p AS (SELECT r, unnest(w) AS a, generate_subscripts(w, 1) - 1 AS pos FROM d),
+g AS (SELECT r, pos, a, lead(a) OVER (PARTITION BY r ORDER BY pos) AS b, lead(a, 2) OVER (PARTITION BY r ORDER BY pos) AS c FROM p),
 base AS (
-    SELECT r, at, CASE WHEN a = 'mit' THEN 'mit' WHEN a = 'apache' THEN 'apache' ELSE 'gpl' END AS label FROM g
+    SELECT r, pos, CASE WHEN a = 'mit' THEN 'mit' WHEN a = 'apache' THEN 'apache' ELSE 'gpl' END AS label FROM g
     WHERE (a IN ('mit', 'apache') AND b = 'license') OR (a = 'general' AND b = 'public' AND c = 'license')),
 t AS (SELECT label, tid, string_split(body, ' ') AS w FROM (VALUES {_NOTICES}) AS n(label, tid, body)),
 tw AS (SELECT label, tid, len(w) - 2 AS windows, i - 1 AS place, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
        FROM t, unnest(generate_series(1, len(w) - 2)) AS s(i)),
-votes AS (SELECT r, tid, label, windows, at - place AS diagonal, list(DISTINCT place) AS places
+votes AS (SELECT r, tid, label, windows, pos - place AS diagonal, list(DISTINCT place) AS places
           FROM g JOIN tw USING (a, b, c) GROUP BY ALL),
 runs AS (SELECT *, sum(jump) OVER (PARTITION BY r, tid ORDER BY diagonal) AS run FROM (
     SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, tid ORDER BY diagonal) <= 3 THEN 0 ELSE 1 END AS jump FROM votes)),
 found AS (SELECT r, label, CAST(len(list_distinct(flatten(list(places)))) AS DOUBLE) / windows AS coverage
           FROM runs GROUP BY r, tid, label, windows, run HAVING coverage >= 0.6),
-b AS (SELECT r, count(*) AS n, min(at) AS lo, max(at) AS hi, list(DISTINCT label) AS labels FROM base GROUP BY r),
+b AS (SELECT r, count(*) AS n, min(pos) AS lo, max(pos) AS hi, list(DISTINCT label) AS labels FROM base GROUP BY r),
 f AS (SELECT r, max(coverage) AS best, list(DISTINCT label) AS labels FROM found GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, CAST(lo AS BIGINT) AS first_word, CAST(hi AS BIGINT) AS last_word,
        coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
