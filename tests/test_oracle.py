@@ -8,9 +8,11 @@ from conftest import SF001
 from oracle_compare import compare, duckdb_connection
 
 import __spark_entry__ as entry_module
+from cartwheel.oracle import oracle_sql
+from cartwheel.queries import QUERIES
 
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
