@@ -47,7 +47,7 @@ class JaccardParams:
     words: int = 5               # words of a shingle
     percent: int = 80            # link when 100 * intersection >= percent * union
     pivot_hashes: int = 3        # min-hashes that pick pivots
-    block_shingles: int = 1_500_000  # bound of a search block (memory)
+    block_shingles: int = 600_000  # bound of a search block (memory)
 
     def needed(self, n):
         """T: overlap that a set of n shingles needs with any partner."""
@@ -170,15 +170,11 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, dtype="<u8")
 
 
-def _concat_found(found: DataFrame, key: str) -> DataFrame:
-    """One row per key: list of its packed parts."""
-    return found.groupBy(key).agg(F.collect_list("hashes").alias("parts"))
-
-
 def _candidates(docs: DataFrame, table: DataFrame, p: JaccardParams) -> DataFrame:
-    """``vid, sig, n, sh, shared``: sets that can have a link (steps 1 and 2)."""
+    """``vid, sig, n, sh, common, shared``: sets that can have a link, with the
+    shingles that others have, too (steps 1 and 2)."""
     found = repeated_hashes(table.select(F.col("sig").alias("key"), F.col("prefix").alias("hashes")).filter("key is not null"))
-    hits = found.groupBy("key").agg((F.sum(F.length("hashes")) / 8).cast("long").alias("hits"))
+    hits = found.select("key", F.shiftright(F.length("hashes"), 3).alias("hits"))
     sets = table.filter("sig is not null").groupBy("sig").agg(
         F.min(F.struct("doc_id", "tkey")).alias("one"), F.first("n_shingles").alias("n"))
     n = F.col("n")
@@ -194,11 +190,10 @@ def _candidates(docs: DataFrame, table: DataFrame, p: JaccardParams) -> DataFram
                     else docs["doc_id"].cast("long") == ids["doc_id"], "left_semi")
     whole = shingle_sets(own, p).dropDuplicates(["sig"]).join(few.select("sig"), "sig", "left_semi")
     whole, _ = materialize(whole.withColumn("vid", F.monotonically_increasing_id()), "jaccard-sets")
-    common = _concat_found(repeated_hashes(whole.select(F.col("sig").alias("key"), F.col("sh").alias("hashes"))), "key")
-    shared = F.aggregate("parts", F.lit(0).cast("long"), lambda acc, x: acc + F.shiftright(F.length(x), 3))
+    common = repeated_hashes(whole.select(F.col("sig").alias("key"), F.col("sh").alias("hashes")))
     least = F.floor((p.percent * F.col("n") + 99) / 100)
-    out = whole.join(common, whole["sig"] == common["key"]).withColumn("shared", shared) \
-               .filter(F.col("shared") >= least).select("vid", "sig", "n", "sh", "parts", "shared")
+    out = whole.join(common, whole["sig"] == common["key"]).withColumn("shared", F.shiftright(F.length("hashes"), 3).cast("long")) \
+               .filter(F.col("shared") >= least).select("vid", "sig", "n", "sh", F.col("hashes").alias("common"), "shared")
     return materialize(out, "jaccard-candidates")[0]
 
 
@@ -231,24 +226,17 @@ def _pivot_links(sets: DataFrame, p: JaccardParams) -> DataFrame:
 
 def _clusters(sets: DataFrame, p: JaccardParams) -> DataFrame:
     """Star edges ``a, b`` between sets that meet in the rarest shared shingles."""
-    def explode(batches):
-        def out():
-            for vid, n, shared, parts in rows(batches, "vid", "n", "shared", "parts"):
-                for part in parts:
-                    yield (vid, shared - int(p.needed(n)) + 1, part)
-        yield from emit(pa.schema([("vid", pa.int64()), ("keep", pa.int64()), ("part", pa.binary())]), out())
-
     def postings(batches):
         for batch in batches:
-            parts = [np.frombuffer(x, dtype="<i8") for x in batch.column("part").to_pylist()]
+            parts = [np.frombuffer(x, dtype="<i8") for x in batch.column("common").to_pylist()]
             count = [len(x) for x in parts]
+            n, shared = batch.column("n").to_numpy(), batch.column("shared").to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(batch.column("vid").to_numpy(), count)),
-                 pa.array(np.repeat(batch.column("keep").to_numpy(), count)),
+                 pa.array(np.repeat(shared - p.needed(n) + 1, count)),
                  pa.array(np.concatenate(parts) if parts else np.empty(0, np.int64))], names=["vid", "keep", "h"])
 
-    post = (sets.select("vid", "n", "shared", "parts").mapInArrow(explode, "vid long, keep long, part binary")
-                .mapInArrow(postings, "vid long, keep long, h long"))
+    post = sets.select("vid", "n", "shared", "common").mapInArrow(postings, "vid long, keep long, h long")
     post, _ = materialize(post, "jaccard-postings")
     df = post.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
     # rarest first; a document's postings are bounded by its own length

@@ -2,21 +2,20 @@
 
 The primitive under the similarity join and the substring search. Input is
 one row per document: ``key`` (16 bytes: its identity) and ``hashes`` (packed
-little-endian uint64). Output rows ``(key, hashes)`` list those of the
-document's hashes that at least one document with a different key has too; a
-document's hashes may come in several rows.
+little-endian uint64). Output is one row per document that has any: its key and
+those of its hashes that at least one document with a different key has too.
 
-One shuffle by hash bucket, and it survives any skew:
+Two shuffles, by hash and back by document, and they survive any skew:
 
 * map side, each task works on blocks of about ``block`` postings. Within a
   block a hash held by two or more keys is known to repeat: its documents are
   credited at once and only one marker per block goes on. So a hash that a
-  third of all documents share costs one row entry per block, not per
-  document;
-* postings travel as packed arrays (one row per block and bucket), not as rows
+  third of all documents share costs one entry per block, not per document;
+* postings travel as packed arrays, one row per block and bucket, not as rows
   of their own;
 * reduce side, a task sorts its bucket's postings (a bounded slice: buckets
-  follow ``spark.sql.shuffle.partitions``, sized from the input).
+  follow ``spark.sql.shuffle.partitions``, sized from the input) and sends the
+  repeated ones on, packed by their documents' bucket.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cartwheel.llm.words import emit
+from cartwheel.llm.words import emit, rows
 
 _MARK = np.uint32(0xFFFFFFFF)
 _PACKED = pa.schema([("bucket", pa.int32()), ("credit", pa.bool_()), ("keys", pa.binary()),
@@ -54,44 +53,55 @@ def _runs(h: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     return order, starts, np.add.reduceat(new.astype(np.int64), starts)
 
 
-def _pack_block(keys: list[bytes], arrays: list[np.ndarray], buckets: int) -> Iterator[tuple]:
-    h = np.concatenate(arrays)
-    owner = np.repeat(np.arange(len(keys), dtype=np.uint32), [len(a) for a in arrays])
-    order, starts, distinct = _runs(h, _key_words(keys)[owner])
-    h, owner = h[order], owner[order]
-    lengths = np.diff(np.append(starts, len(h)))
-    repeated = distinct > 1
-    credited = np.repeat(repeated, lengths)
-    if credited.any():
-        yield from _credits(keys, owner[credited], h[credited])
-    # one posting per hash: its owner, or the mark that it already repeats
-    send_h, send_o = h[starts], np.where(repeated, _MARK, owner[starts])
-    bucket = (send_h % np.uint64(buckets)).astype(np.int32)
+def _pack(keys: list[bytes], owner: np.ndarray, h: np.ndarray, bucket: np.ndarray, buckets: int, credit: bool) -> Iterator[tuple]:
+    """One row per bucket; owners are numbered anew within it."""
     by = np.argsort(bucket, kind="stable")
     cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
     for b in range(buckets):
         part = by[cuts[b]:cuts[b + 1]]
         if len(part):
-            ids, local = np.unique(send_o[part], return_inverse=True)
-            own = ids[ids != _MARK]
-            local = np.where(send_o[part] == _MARK, _MARK, local).astype(np.uint32)
-            yield (b, False, b"".join(keys[i] for i in own), local.tobytes(), send_h[part].tobytes())
+            ids, local = np.unique(owner[part], return_inverse=True)
+            local = np.where(owner[part] == _MARK, _MARK, local).astype(np.uint32)
+            yield (b, credit, b"".join(keys[i] for i in ids if i != _MARK), local.tobytes(), h[part].tobytes())
+
+
+def _pack_by_key(keys: list[bytes], owner: np.ndarray, h: np.ndarray, buckets: int) -> Iterator[tuple]:
+    """Rows that bring repeated hashes to their documents' buckets."""
+    at = np.frombuffer(b"".join(k[8:16] for k in keys), dtype="<u8") % np.uint64(buckets)
+    yield from _pack(keys, owner, h, at.astype(np.int32)[owner], buckets, True)
 
 
-def _credits(keys: list[bytes], owner: np.ndarray, h: np.ndarray) -> Iterator[tuple]:
-    """(bucket, credit, key, -, hashes) per owner; the bucket only spreads them."""
-    order = np.argsort(owner, kind="stable")
-    owner, h = owner[order], h[order]
-    ids, starts = np.unique(owner, return_index=True)
-    for i, part in zip(ids, np.split(h, starts[1:])):
-        yield (keys[i][0] | keys[i][1] << 8, True, keys[i], None, part.tobytes())
+def _unpack(parts: list[tuple]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Keys, owners (-1: a marker) and hashes of packed rows."""
+    keys: list[bytes] = []
+    owners, hashes = [], []
+    for k, o, h in parts:
+        own = np.frombuffer(o, dtype=np.uint32).astype(np.int64)
+        owners.append(np.where(own == int(_MARK), -1, own + len(keys)))
+        hashes.append(np.frombuffer(h, dtype="<u8"))
+        keys.extend(k[i:i + 16] for i in range(0, len(k), 16))
+    return keys, np.concatenate(owners), np.concatenate(hashes)
 
 
-def repeated_hashes(docs: DataFrame, block: int = 1_000_000) -> DataFrame:
+def _block(keys: list[bytes], arrays: list[np.ndarray], buckets: int) -> Iterator[tuple]:
+    h = np.concatenate(arrays)
+    owner = np.repeat(np.arange(len(keys), dtype=np.uint32), [len(a) for a in arrays])
+    order, starts, distinct = _runs(h, _key_words(keys)[owner])
+    h, owner = h[order], owner[order]
+    repeated = distinct > 1
+    credited = np.repeat(repeated, np.diff(np.append(starts, len(h))))
+    if credited.any():
+        yield from _pack_by_key(keys, owner[credited], h[credited], buckets)
+    # one posting per hash: its owner, or the mark that it already repeats
+    h = h[starts]
+    yield from _pack(keys, np.where(repeated, _MARK, owner[starts]), h, (h % np.uint64(buckets)).astype(np.int32), buckets, False)
+
+
+def repeated_hashes(docs: DataFrame, block: int = 500_000) -> DataFrame:
     """``docs``: columns ``key`` (16-byte binary) and ``hashes`` (packed uint64).
 
     Null or empty ``hashes`` give no rows; rows with equal keys count as one
-    document. Returns ``key, hashes`` (see module text)."""
+    document. Returns ``key, hashes``, one row per key (see module text)."""
     spark = docs.sparkSession
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
@@ -101,54 +111,62 @@ def repeated_hashes(docs: DataFrame, block: int = 1_000_000) -> DataFrame:
             arrays: list[np.ndarray] = []
             seen: set[bytes] = set()
             held = 0
-            for batch in batches:
-                for key, packed in zip(batch.column("key").to_pylist(), batch.column("hashes").to_pylist()):
-                    if not packed or key in seen:
-                        continue
-                    seen.add(key)
-                    keys.append(key)
-                    arrays.append(np.frombuffer(packed, dtype="<u8"))
-                    held += len(arrays[-1])
-                    if held >= block:
-                        yield from _pack_block(keys, arrays, buckets)
-                        keys, arrays, seen, held = [], [], set(), 0
+            for key, packed in rows(batches, "key", "hashes"):
+                if not packed or key in seen:
+                    continue
+                seen.add(key)
+                keys.append(key)
+                arrays.append(np.frombuffer(packed, dtype="<u8"))
+                held += len(arrays[-1])
+                if held >= block:
+                    yield from _block(keys, arrays, buckets)
+                    keys, arrays, seen, held = [], [], set(), 0
             if keys:
-                yield from _pack_block(keys, arrays, buckets)
+                yield from _block(keys, arrays, buckets)
         yield from emit(_PACKED, blocks())
 
     def find(batches):
         def found():
-            keys: list[bytes] = []
-            owners: list[np.ndarray] = []
-            hashes: list[np.ndarray] = []
-            buckets_of: dict[int, list] = {}
-            for batch in batches:
-                for bucket, credit, k, o, h in zip(*(batch.column(c).to_pylist() for c in _PACKED.names)):
-                    if credit:
-                        yield (k, h)
-                    else:
-                        buckets_of.setdefault(bucket, []).append((k, o, h))
-            for parts in buckets_of.values():
-                keys, owners, hashes = [], [], []
-                for k, o, h in parts:
-                    own = np.frombuffer(o, dtype=np.uint32).astype(np.int64)
-                    owners.append(np.where(own == int(_MARK), -1, own + len(keys)))
-                    hashes.append(np.frombuffer(h, dtype="<u8"))
-                    keys.extend(k[i:i + 16] for i in range(0, len(k), 16))
+            own: dict[int, list] = {}
+            for bucket, credit, k, o, h in rows(batches, *_PACKED.names):
+                if credit:
+                    yield (bucket, True, k, o, h)
+                else:
+                    own.setdefault(bucket, []).append((k, o, h))
+            for parts in own.values():
+                keys, owner, h = _unpack(parts)
                 parts.clear()
-                owner, h = np.concatenate(owners), np.concatenate(hashes)
                 if not keys:
                     continue
                 marked = owner < 0
-                who = np.where(marked, np.uint64(0), _key_words(keys)[owner])
-                order, starts, distinct = _runs(h, who)
+                order, starts, distinct = _runs(h, np.where(marked, np.uint64(0), _key_words(keys)[owner]))
                 lengths = np.diff(np.append(starts, len(h)))
                 marks = np.add.reduceat(marked[order].astype(np.int64), starts)
                 hit = np.repeat((distinct > 1) | (marks > 0), lengths) & ~marked[order]
-                for _, _, key, _, packed in _credits(keys, owner[order][hit], h[order][hit]):
-                    yield (key, packed)
+                if hit.any():
+                    yield from _pack_by_key(keys, owner[order][hit].astype(np.uint32), h[order][hit], buckets)
+        yield from emit(_PACKED, found())
+
+    def collect(batches):
+        def found():
+            own: dict[int, list] = {}
+            for bucket, _, k, o, h in rows(batches, *_PACKED.names):
+                own.setdefault(bucket, []).append((k, o, h))
+            for parts in own.values():
+                keys, owner, h = _unpack(parts)
+                parts.clear()
+                names, ids = np.unique(np.array(keys, dtype="V16"), return_inverse=True)
+                who = ids[owner]
+                order = np.lexsort((h, who))
+                who, h = who[order], h[order]
+                keep = np.ones(len(h), dtype=bool)
+                keep[1:] = (who[1:] != who[:-1]) | (h[1:] != h[:-1])
+                who, h = who[keep], h[keep]
+                cuts = np.searchsorted(who, np.arange(len(names) + 1))
+                for i, name in enumerate(names):
+                    yield (name.tobytes(), h[cuts[i]:cuts[i + 1]].tobytes())
         yield from emit(_FOUND, found())
 
-    return (docs.select("key", "hashes").mapInArrow(pack, _PACKED_DDL)
-                .repartition(buckets, "bucket")
-                .mapInArrow(find, "key binary, hashes binary"))
+    packed = docs.select("key", "hashes").mapInArrow(pack, _PACKED_DDL)
+    found = packed.repartition(buckets, "bucket").mapInArrow(find, _PACKED_DDL)
+    return found.repartition(buckets, "bucket").mapInArrow(collect, "key binary, hashes binary")

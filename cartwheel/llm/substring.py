@@ -62,8 +62,8 @@ def _again(h: np.ndarray) -> np.ndarray:
     return mask
 
 
-def _unpack(parts) -> np.ndarray:
-    return np.unique(np.frombuffer(b"".join(() if parts is None else parts), dtype="<u8"))
+def _unpack(packed: bytes | None) -> np.ndarray:
+    return np.frombuffer(packed or b"", dtype="<u8")
 
 
 def _union(starts: np.ndarray, width: int, n: int) -> np.ndarray:
@@ -131,7 +131,7 @@ def repeats(docs: DataFrame, p: SubstringParams = SubstringParams()) -> DataFram
         yield from emit(pa.schema([("key", pa.binary()), ("hashes", pa.binary()), ("inner", pa.bool_())]), out())
 
     seeded, _ = materialize(keyed.mapInArrow(seeds, "key binary, hashes binary, inner boolean"), "substring-seeds")
-    again = repeated_hashes(seeded).groupBy("key").agg(F.collect_list("hashes").alias("anchors"))
+    again = repeated_hashes(seeded).withColumnRenamed("hashes", "anchors")
     per_text = seeded.groupBy("key").agg((F.count("*") > 1).alias("copies"), F.max("inner").alias("inner"))
     hot = per_text.join(again, "key", "left").filter("copies or inner or anchors is not null")
     hot, _ = materialize(hot, "substring-anchors")
@@ -148,8 +148,7 @@ def repeats(docs: DataFrame, p: SubstringParams = SubstringParams()) -> DataFram
                     yield (key, np.unique(h).tobytes())
         yield from emit(pa.schema([("key", pa.binary()), ("hashes", pa.binary())]), out())
 
-    windows = repeated_hashes(own.mapInArrow(extend, "key binary, hashes binary")) \
-        .groupBy("key").agg(F.collect_list("hashes").alias("windows"))
+    windows = repeated_hashes(own.mapInArrow(extend, "key binary, hashes binary")).withColumnRenamed("hashes", "windows")
     return materialize(hot.join(windows, "key", "left").select("key", "anchors", "windows", "copies"), "substring-found")[0]
 
 

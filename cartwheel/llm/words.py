@@ -89,9 +89,11 @@ def sha256_hex(data: bytes) -> str:
 
 
 def rows(batches: Iterator, *columns: str) -> Iterator[tuple]:
-    """Rows of Arrow batches as tuples of Python values."""
+    """Rows of Arrow batches as tuples of Python values, a few at a time."""
     for batch in batches:
-        yield from zip(*(batch.column(c).to_pylist() for c in columns))
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            yield from zip(*(part.column(c).to_pylist() for c in columns))
 
 
 def emit(schema, buffered: Iterator[tuple], max_rows: int = 2000, max_bytes: int = 8 << 20):
