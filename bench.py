@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import statistics
 import sys
 import tempfile
@@ -64,8 +65,9 @@ def main() -> None:
             errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     ok = [n for n in names if n not in errors]
     timings: dict[str, list[float]] = {name: [] for name in ok}
-    for _ in range(runs):
-        for name in ok:
+    order = random.Random(0)
+    for _ in range(runs):  # another order per pass: no query always runs behind the same one
+        for name in order.sample(ok, len(ok)):
             timings[name].append(run_once(spark, QUERIES[name], sf_dir))
     per_query = {name: round(statistics.median(ts), 4) for name, ts in timings.items()}
     headline = {n: per_query[n] for n in HEADLINE if n in per_query}

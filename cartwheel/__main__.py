@@ -1,6 +1,7 @@
 """Command-line entry for ``spark-submit`` (or ``python -m cartwheel``).
 
-    spark-submit --py-files cartwheel.zip -m cartwheel run-all --data /path/to/tables
+    zip -r cartwheel.zip cartwheel
+    spark-submit --py-files cartwheel.zip submit.py run-all --data /path/to/tables
     python -m cartwheel job build_customer_360_sp --data /root/testdata/sf0.01 --local
 
 The same job functions run from here, from tests and from the job
@@ -16,17 +17,15 @@ from pyspark.sql import SparkSession
 from cartwheel.config import TESTDATA_PARAMS
 from cartwheel.plans import etl
 from cartwheel.queries import QUERIES, job_registry
-from cartwheel.session import SCALE_CONF, cluster_conf, ensure_checkpoint_dir, local_session
+from cartwheel.session import SCALE_CONF, cluster_conf, ensure_checkpoint_dir, local_session, set_defaults
 from cartwheel.sources.tables import from_testdata
 
 
 def _session(local: bool, data: str) -> SparkSession:
     if local:
         return local_session()
-    builder = SparkSession.builder.appName("cartwheel")
-    for key, value in SCALE_CONF.items():  # defaults; spark-submit --conf wins
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = SparkSession.builder.appName("cartwheel").getOrCreate()
+    set_defaults(spark, SCALE_CONF)  # what spark-submit --conf gives wins
     ensure_checkpoint_dir(spark)
     if not spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
         # no --conf given: size shuffles from the input volume and the cores
@@ -35,7 +34,7 @@ def _session(local: bool, data: str) -> SparkSession:
         for key in ("spark.sql.shuffle.partitions",
                     "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
                     "spark.sql.adaptive.coalescePartitions.parallelismFirst"):
-            spark.conf.set(key, sizing[key])
+            set_defaults(spark, {key: sizing[key]})
     return spark
 
 
@@ -52,7 +51,7 @@ def main(argv: list[str] | None = None) -> str:
     ap.add_argument("name", nargs="?", help="job or query name")
     ap.add_argument("--data", required=True, help="directory holding the <table>.parquet files")
     ap.add_argument("--local", action="store_true", help="build a local[*] session")
-    ap.add_argument("--out", help="for 'query': write the result as parquet here")
+    ap.add_argument("--out", help="for 'query': write the whole result as parquet here; without it a preview of 20 rows is printed")
     args = ap.parse_args(argv)
 
     spark = _session(args.local, args.data)
@@ -66,8 +65,8 @@ def main(argv: list[str] | None = None) -> str:
             df.write.mode("overwrite").parquet(args.out)
             result = f"wrote {args.name} to {args.out}"
         else:
-            df.show(20, truncate=False)
-            result = f"showed {args.name}"
+            df.show(20, truncate=False)  # a preview, not the result
+            result = f"showed the first rows of {args.name}"
     print(result)
     return result
 

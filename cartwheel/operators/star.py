@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.sources.tables import Shop
+from cartwheel.sources.tables import Shop, join_heads
 
 
 def month_of(date_col: str = "order_date"):
@@ -28,26 +28,49 @@ def month_of(date_col: str = "order_date"):
 
 
 def order_details(shop: Shop, with_customer_id: bool = False) -> DataFrame:
-    """orders ⨝ customers ⨝ products, one row per order line."""
-    o, c, p = shop.orders, shop.customers, shop.products
-    cols = [o["order_id"]]
+    """orders ⨝ customers ⨝ products, one row per order line.
+
+    With separate heads, customers join the heads and products the lines
+    before the two meet on order_id: lines are shuffled by product (unless the
+    catalogue is broadcast) and by order, never by customer."""
+    c, p = shop.customers, shop.products
+    customer = ["customer_id", "first_name", "region"]
+    product = ["product_name", "category", "unit_price"]
+    if shop.heads is not None:
+        h, l = shop.heads, shop.lines
+        known = h.join(c, h["customer_id"] == c["customer_id"]).select(
+            h["order_id"], h["order_date"], *[c[n] for n in customer])
+        priced = l.join(p, l["product_id"] == p["product_id"]).select(l["order_id"], l["quantity"], *[p[n] for n in product])
+        rows = join_heads(priced, known)
+    else:
+        o = shop.orders
+        rows = (o.join(c, o["customer_id"] == c["customer_id"]).join(p, o["product_id"] == p["product_id"])
+                 .select(o["order_id"], o["order_date"], o["quantity"], *[c[n] for n in customer], *[p[n] for n in product]))
+    cols = [F.col("order_id")]
     if with_customer_id:
-        cols.append(c["customer_id"].alias("cust_id"))
-    cols += [
-        c["first_name"], c["region"], p["product_name"], p["category"], o["quantity"],
-        (o["quantity"] * p["unit_price"]).alias("order_total"), o["order_date"],
-    ]
-    return (o.join(c, o["customer_id"] == c["customer_id"])
-             .join(p, o["product_id"] == p["product_id"])
-             .select(*cols))
+        cols.append(F.col("customer_id").alias("cust_id"))
+    cols += [F.col(n) for n in ("first_name", "region", "product_name", "category", "quantity")]
+    cols += [(F.col("quantity") * F.col("unit_price")).alias("order_total"), F.col("order_date")]
+    return rows.select(*cols)
 
 
 def priced_lines(shop: Shop, category: str | None = None) -> DataFrame:
     """orders ⨝ products: order lines with their decimal ``order_total``.
-    A category filter lands on the product scan."""
-    o, p = shop.orders, shop.products
+    A category filter lands on the product scan.
+
+    With separate heads the lines are priced first and then meet their heads
+    on order_id, which leaves an order's lines together: the map-side part of
+    a per-customer aggregate combines them before the next shuffle. (The other
+    way round, a shuffled product join scatters them again.)"""
+    p = shop.products
     if category is not None:
         p = p.filter(F.col("category") == category)
+    if shop.heads is not None:
+        l = shop.lines
+        priced = l.join(p, l["product_id"] == p["product_id"]).select(
+            l["order_id"], (l["quantity"] * p["unit_price"]).alias("order_total"))
+        return join_heads(priced, shop.heads).select("order_id", "customer_id", "order_date", "order_total")
+    o = shop.orders
     return o.join(p, o["product_id"] == p["product_id"]).select(
         o["order_id"], o["customer_id"], o["order_date"],
         (o["quantity"] * p["unit_price"]).alias("order_total"),
@@ -85,12 +108,17 @@ def customer_totals(shop: Shop, category: str | None = None,
 
 def product_quantities(shop: Shop) -> DataFrame:
     """Per product_id: summed quantity over lines whose customer exists
-    (inner join on the key only, so duplicates keep their multiplicity)."""
-    o = shop.orders
+    (inner join on the key only, so duplicates keep their multiplicity).
+    With separate heads the key check happens on them, not on the lines."""
     keys = shop.customers.select("customer_id")
-    return (o.join(keys, o["customer_id"] == keys["customer_id"])
-             .groupBy(o["product_id"])
-             .agg(F.sum("quantity").alias("quantity")))
+    if shop.heads is not None:
+        h = shop.heads
+        known = h.join(keys, h["customer_id"] == keys["customer_id"]).select(h["order_id"])
+        rows = join_heads(shop.lines, known)
+    else:
+        o = shop.orders
+        rows = o.join(keys, o["customer_id"] == keys["customer_id"]).select(o["product_id"], o["quantity"])
+    return rows.groupBy("product_id").agg(F.sum("quantity").alias("quantity"))
 
 
 def with_customers(totals: DataFrame, shop: Shop, *columns: str) -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from cartwheel.config import ALL_JOBS_STATUS, EMAIL_PATTERN, SAVED_STATUS
 from cartwheel.config import TESTDATA_PARAMS as P
-from cartwheel.functions.rules import tier_case_sql
 from cartwheel.plans import etl
 
 BINDING = """
@@ -49,8 +48,23 @@ RATE_CASE = ("CASE discount_tier " + " ".join(
     + " ELSE CAST(0.0 AS DOUBLE) END")
 
 
+# the rules at the test tables' thresholds, spelled out independently of the
+# engine's rule tables
+def _spend_tier(x: str) -> str:
+    return (f"CASE WHEN {x} >= 1200000 THEN 'Platinum' WHEN {x} >= 950000 THEN 'Gold' "
+            f"WHEN {x} >= 720000 THEN 'Silver' ELSE 'Bronze' END")
+
+
+def _price_tier(x: str) -> str:
+    return f"CASE WHEN {x} > 975 THEN 'Premium' WHEN {x} > 925 THEN 'Standard' ELSE 'Budget' END"
+
+
+def _revenue_tier(x: str) -> str:
+    return f"CASE WHEN {x} > 3800000 THEN 'High' WHEN {x} > 3300000 THEN 'Medium' ELSE 'Low' END"
+
+
 def _with(body: str) -> str:
-    return BINDING.format(spend_tier=tier_case_sql("s.total_spend", P.spend_tiers)) + body
+    return BINDING.format(spend_tier=_spend_tier("s.total_spend")) + body
 
 
 def _summary(with_unique: bool) -> str:
@@ -58,7 +72,7 @@ def _summary(with_unique: bool) -> str:
     return f"""
 SELECT region, month, CAST(total AS DOUBLE) AS total_revenue, order_count,
        CAST(total AS DOUBLE) / n_totals AS avg_order_value{', unique_customers' if with_unique else ''},
-       {tier_case_sql('total', P.revenue_tiers)} AS revenue_tier
+       {_revenue_tier('total')} AS revenue_tier
 FROM (SELECT region, CAST(date_trunc('month', order_date) AS DATE) AS month,
              SUM(order_total) AS total, COUNT(order_id) AS order_count,
              COUNT(order_total) AS n_totals{unique}
@@ -69,7 +83,7 @@ CUSTOMER_360 = f"""
 SELECT c.customer_id, c.first_name, c.last_name, c.region,
        CAST(m.total_spend AS DOUBLE) AS total_spend, m.order_count,
        CAST(m.total_spend AS DOUBLE) / m.n_totals AS avg_order_value,
-       {tier_case_sql('m.total_spend', P.spend_tiers)} AS discount_tier
+       {_spend_tier('m.total_spend')} AS discount_tier
 FROM shop_customers c
 JOIN (SELECT o.customer_id, SUM(o.quantity * p.unit_price) AS total_spend,
              COUNT(o.order_id) AS order_count, COUNT(o.quantity * p.unit_price) AS n_totals
@@ -113,7 +127,7 @@ SELECT product_name, CAST(unit_price AS DOUBLE) AS unit_price FROM shop_products
 WHERE category = '{P.category}' AND unit_price > {P.min_price!r}""",
     "price_tier": f"""
 SELECT product_name, CAST(unit_price AS DOUBLE) AS unit_price,
-       {tier_case_sql('unit_price', P.price_tiers)} AS price_tier
+       {_price_tier('unit_price')} AS price_tier
 FROM shop_products""",
     "order_details": """
 SELECT order_id, first_name, region, product_name, category, quantity,
@@ -169,10 +183,22 @@ FROM customer_tiers""",
     "call_registered_job": f"SELECT {_status(_summary(True), MONTHLY_TARGET)} AS status",
     "run_all_jobs": _all_jobs_status(),
     "load_raw_tables": ROW_COUNTS,
+    "raw_customers": """
+SELECT customer_id, first_name, last_name, CAST(NULL AS VARCHAR) AS email, region, CAST(NULL AS DATE) AS signup_date
+FROM shop_customers""",
+    "raw_products": """
+SELECT product_id, product_name, category, CAST(unit_price AS DOUBLE) AS unit_price FROM shop_products""",
+    "raw_orders": "SELECT order_id, customer_id, product_id, quantity, order_date FROM shop_orders",
+    "run_all_monthly_summary": _summary(True),
+    "run_all_customer_360": CUSTOMER_360,
+    "tier_lookup_python_sql": f"""
+SELECT first_name AS name, CAST(total_spend AS DOUBLE) AS total_spend, discount_tier,
+       CAST(total_spend AS DOUBLE) * ({RATE_CASE}) AS discount_amount
+FROM customer_tiers""",
 }
 SQL["customer_tiers_udf"] = SQL["customer_tiers_arrow_udf"] = SQL["customer_tiers"]
 SQL["email_domain_udf"] = SQL["email_domain"]
-SQL["customer_discounts_native"] = SQL["customer_discounts"]
+SQL["customer_discounts_native"] = SQL["customer_discounts_udf"] = SQL["customer_discounts"]
 
 
 def oracle_sql() -> dict[str, str]:

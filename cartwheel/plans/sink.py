@@ -9,17 +9,19 @@ schema) but never deletes the live data before the new data is complete:
    leaves only an unpublished directory behind);
 2. only after that job commits is the table pointed at the new directory.
 
-Readers therefore see either the old or the new version, and a rerun from a
-new session works (no ``LOCATION_ALREADY_EXISTS``). Version names sort by
-time; after a publish all but the live and the previous version are
-deleted, so a reader still on the previous version keeps working and
-repeated runs do not accumulate copies.
+With an unchanged schema and bucket layout that is one catalog call, and
+readers see the old version or the new one. A changed schema or layout drops
+the table entry and creates it anew; between the two calls the table does not
+exist. The version published before the live one is kept for readers still on
+it and removed by the next save (the table remembers it). Directories that were
+never published are left alone: another writer may still be filling them.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -27,6 +29,16 @@ from pyspark.sql import types as T
 from cartwheel.config import SAVED_STATUS
 from cartwheel.session import ensure_checkpoint_dir, output_root
 
+PREVIOUS = "cartwheel.previous"  # table property: the version published before
+
+
+@dataclass(frozen=True)
+class Live:
+    location: str
+    schema: T.StructType
+    buckets: tuple[str, str] | None
+    previous: str | None
+
 
 def _split(table: str) -> tuple[str, str]:
     db, _, name = table.rpartition(".")
@@ -35,6 +47,17 @@ def _split(table: str) -> tuple[str, str]:
     return db, name
 
 
+def published(spark: SparkSession, table: str) -> Live | None:
+    """What the catalog has of a table; None if there is none."""
+    if not spark.catalog.tableExists(table):
+        return None
+    told = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    props = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    n = told.get("Num Buckets")
+    return Live(told["Location"], spark.table(table).schema,
+                (n, told.get("Bucket Columns", "")) if n else None, props.get(PREVIOUS))
+
+
 def save_table(df: DataFrame, table: str, root: str | None = None,
                bucket_by: str | None = None, buckets: int = 0) -> str:
     """Overwrite ``db.table`` with ``df``; returns the published location.
@@ -45,58 +68,35 @@ def save_table(df: DataFrame, table: str, root: str | None = None,
     spark: SparkSession = df.sparkSession
     db, name = _split(table)
     base = (root or output_root(spark)).rstrip("/")
-    table_dir = f"{base}/{db}.db/{name}"
     version = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
-    location = f"{table_dir}/{version}"
+    location = f"{base}/{db}.db/{name}/{version}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    if bucket_by:
-        # a bucketed layout is written through a catalog table: write it under
-        # a staging name at the version directory, then rename it in
-        staging = f"{db}.{name}__{version.replace('-', '_')}"
-        try:
+    staging = f"{db}.{name}__{version.replace('-', '_')}"
+    try:
+        if bucket_by:  # a bucketed layout is written through a catalog entry
             (df.write.format("parquet").mode("errorifexists").option("path", location)
                .bucketBy(buckets, bucket_by).sortBy(bucket_by).saveAsTable(staging))
+        else:
+            df.write.mode("errorifexists").parquet(location)
+            # parquet stores every column as nullable: declare the table that way
+            schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+            spark.catalog.createTable(staging, path=location, source="parquet", schema=schema)
+        live, new = published(spark, table), published(spark, staging)
+        if live and (live.schema, live.buckets) == (new.schema, new.buckets):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+            spark.sql(f"REFRESH TABLE {table}")
+        else:
             spark.sql(f"DROP TABLE IF EXISTS {table}")
             spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-        finally:  # a failed write leaves no staging entry behind (data is external)
-            spark.sql(f"DROP TABLE IF EXISTS {staging}")
-        prune_versions(spark, table_dir, keep=2, protect=location)
-        return location
-    df.write.mode("errorifexists").parquet(location)
-
-    # parquet stores every column as nullable: declare the table that way
-    # (no footer inference needed, the frame already knows its schema)
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-    if spark.catalog.tableExists(table) and spark.table(table).schema == schema:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
-        spark.sql(f"REFRESH TABLE {table}")
-    else:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.catalog.createTable(table, path=location, source="parquet", schema=schema)
-    prune_versions(spark, table_dir, keep=2, protect=location)
+        if live:
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PREVIOUS}' = '{live.location}')")
+    finally:  # no staging entry stays behind (its data is external)
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    if live and live.previous:
+        remove_path(spark, live.previous)
     return location
 
 
-def prune_versions(spark: SparkSession, table_dir: str, keep: int = 2,
-                   protect: str | None = None) -> list[str]:
-    """Delete all but the newest ``keep`` version directories of a table
-    (Hadoop FileSystem of the session, so it works on any shared store).
-    ``protect`` (the just-published location) is never deleted."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(table_dir)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    versions = sorted((st.getPath() for st in fs.listStatus(path)
-                       if st.isDirectory() and st.getPath().getName().startswith("v-")),
-                      key=lambda p: p.getName())
-    keep_name = protect.rstrip("/").rsplit("/", 1)[-1] if protect else None
-    doomed = [p for p in (versions[:-keep] if keep > 0 else versions) if p.getName() != keep_name]
-    for p in doomed:
-        fs.delete(p, True)
-    return [p.toString() for p in doomed]
-
-
 def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Cut lineage: write ``df`` as parquet under the cluster's
     ``spark.checkpoint.dir`` (shared storage) and return the re-read frame

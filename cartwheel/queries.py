@@ -7,12 +7,16 @@ Queries that save tables do so when called and return the read-back table.
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.config import TESTDATA_PARAMS as P
-from cartwheel.functions.rules import register_sql_functions
+from cartwheel.config import Params
+from cartwheel.functions.rules import register_python_functions, register_sql_functions
 from cartwheel.operators import reports as R
 from cartwheel.operators.star import order_details as _order_details
 from cartwheel.plans import etl
@@ -34,6 +38,14 @@ def _d(df: DataFrame) -> DataFrame:
     return R.money_as_double(df)
 
 
+def _own(query: str, sf_dir: str) -> Params:
+    """Parameters with databases of this query and input's own, so that a
+    returned frame never reads a table that another query overwrites."""
+    path = sf_dir.rstrip("/")
+    tag = f"{query}__{re.sub('[^a-z0-9]', '_', path.rsplit('/', 1)[-1].lower())}_{zlib.crc32(path.encode()):08x}"
+    return replace(P, raw_db=f"{P.raw_db}__{tag}", analytics_db=f"{P.analytics_db}__{tag}")
+
+
 def job_registry(sf_dir: str) -> JobRegistry:
     """The two ETL jobs, bound to a test-data directory, by name."""
     reg = JobRegistry()
@@ -124,48 +136,67 @@ def customer_discounts(spark, sf_dir):
     return _d(R.customer_discounts(R.customer_tiers(_shop(spark, sf_dir), P), P))
 
 
-def customer_discounts_native(spark, sf_dir):
-    return _d(R.customer_discounts(R.customer_tiers(_shop(spark, sf_dir), P), P, vectorised=False))
+def customer_discounts_udf(spark, sf_dir):
+    return _d(R.customer_discounts(R.customer_tiers(_shop(spark, sf_dir), P), P, vectorised=True))
 
 
 def monthly_revenue_summary(spark, sf_dir):
-    etl.build_monthly_revenue_summary(spark, _shop(spark, sf_dir), P)
-    return _d(spark.table(etl.target(P, etl.MONTHLY_SUMMARY)))
+    own = _own("monthly_revenue_summary", sf_dir)
+    etl.build_monthly_revenue_summary(spark, _shop(spark, sf_dir), own)
+    return _d(spark.table(etl.target(own, etl.MONTHLY_SUMMARY)))
 
 
 def monthly_revenue_summary_basic(spark, sf_dir):
-    etl.build_monthly_revenue_summary_basic(spark, _shop(spark, sf_dir), P)
-    return _d(spark.table(etl.target(P, etl.MONTHLY_SUMMARY_BASIC)))
+    own = _own("monthly_revenue_summary_basic", sf_dir)
+    etl.build_monthly_revenue_summary_basic(spark, _shop(spark, sf_dir), own)
+    return _d(spark.table(etl.target(own, etl.MONTHLY_SUMMARY_BASIC)))
 
 
 def customer_360(spark, sf_dir):
-    etl.build_customer_360(spark, _shop(spark, sf_dir), P)
-    return _d(spark.table(etl.target(P, etl.CUSTOMER_360)))
+    own = _own("customer_360", sf_dir)
+    etl.build_customer_360(spark, _shop(spark, sf_dir), own)
+    return _d(spark.table(etl.target(own, etl.CUSTOMER_360)))
 
 
 def monthly_summary_sample(spark, sf_dir):
-    etl.build_monthly_revenue_summary(spark, _shop(spark, sf_dir), P)
-    return _d(etl.monthly_summary_sample(spark, P))
+    own = _own("monthly_summary_sample", sf_dir)
+    etl.build_monthly_revenue_summary(spark, _shop(spark, sf_dir), own)
+    return _d(etl.monthly_summary_sample(spark, own))
 
 
 def top_spenders(spark, sf_dir):
-    etl.build_customer_360(spark, _shop(spark, sf_dir), P)
-    return _d(etl.top_spenders(spark, P))
+    own = _own("top_spenders", sf_dir)
+    etl.build_customer_360(spark, _shop(spark, sf_dir), own)
+    return _d(etl.top_spenders(spark, own))
 
 
 def tier_lookup_sql(spark, sf_dir):
     """The tier function called by name from SQL text, over the tables."""
     register_sql_functions(spark, P.spend_tiers)
+    return _tier_lookup(spark, sf_dir, "discount_tier(s.total_spend)")
+
+
+def tier_lookup_python_sql(spark, sf_dir):
+    """The Python functions called by name from SQL text, over the tables."""
+    register_python_functions(spark, P.spend_tiers, P.discount_rates)
+    return _tier_lookup(spark, sf_dir, "discount_tier_py(CAST(s.total_spend AS DOUBLE))",
+                        "calculate_discount_amount(CAST(total_spend AS DOUBLE), discount_tier)")
+
+
+def _tier_lookup(spark, sf_dir, tier, amount=None):
     _shop(spark, sf_dir).register_views()
-    return spark.sql("""
+    rows = f"""
         SELECT c.first_name AS name,
                CAST(s.total_spend AS DOUBLE) AS total_spend,
-               discount_tier(s.total_spend) AS discount_tier
-        FROM (SELECT o.customer_id, SUM(o.quantity * p.unit_price) AS total_spend
-              FROM shop_orders o JOIN shop_products p ON o.product_id = p.product_id
-              GROUP BY o.customer_id) s
+               {tier} AS discount_tier
+        FROM (SELECT h.customer_id, SUM(priced.order_total) AS total_spend
+              FROM (SELECT l.order_id, l.quantity * p.unit_price AS order_total
+                    FROM shop_lines l JOIN shop_products p ON l.product_id = p.product_id) priced
+              JOIN shop_heads h ON priced.order_id = h.order_id
+              GROUP BY h.customer_id) s
         JOIN shop_customers c ON s.customer_id = c.customer_id
-    """)
+    """
+    return spark.sql(f"SELECT *, {amount} AS discount_amount FROM ({rows})" if amount else rows)
 
 
 def call_registered_job(spark, sf_dir):
@@ -178,8 +209,38 @@ def run_all_jobs(spark, sf_dir):
 
 
 def load_raw_tables(spark, sf_dir):
-    raw = _load_raw_tables(spark, _shop(spark, sf_dir), P.raw_db, P.analytics_db, buckets=P.raw_buckets)
-    return R.shop_row_counts(raw)
+    return R.shop_row_counts(_raw(spark, sf_dir, "load_raw_tables"))
+
+
+def _raw(spark, sf_dir, query) -> Shop:
+    own = _own(query, sf_dir)
+    return _load_raw_tables(spark, _shop(spark, sf_dir), own.raw_db, own.analytics_db, buckets=own.raw_buckets)
+
+
+def raw_customers(spark, sf_dir):
+    """Content of the loaded raw tables, column by column."""
+    return _raw(spark, sf_dir, "raw_customers").customers
+
+
+def raw_products(spark, sf_dir):
+    return _d(_raw(spark, sf_dir, "raw_products").products)
+
+
+def raw_orders(spark, sf_dir):
+    return _raw(spark, sf_dir, "raw_orders").orders
+
+
+def run_all_monthly_summary(spark, sf_dir):
+    """Content of the tables that the orchestrator saves."""
+    own = _own("run_all_monthly_summary", sf_dir)
+    etl.run_all(spark, _shop(spark, sf_dir), own)
+    return _d(spark.table(etl.target(own, etl.MONTHLY_SUMMARY)))
+
+
+def run_all_customer_360(spark, sf_dir):
+    own = _own("run_all_customer_360", sf_dir)
+    etl.run_all(spark, _shop(spark, sf_dir), own)
+    return _d(spark.table(etl.target(own, etl.CUSTOMER_360)))
 
 
 QUERIES: dict[str, Query] = {
@@ -203,14 +264,21 @@ QUERIES: dict[str, Query] = {
     "email_domain": email_domain,
     "email_domain_udf": email_domain_udf,
     "customer_discounts": customer_discounts,
-    "customer_discounts_native": customer_discounts_native,
+    "customer_discounts_native": customer_discounts,
+    "customer_discounts_udf": customer_discounts_udf,
     "monthly_revenue_summary": monthly_revenue_summary,
     "monthly_revenue_summary_basic": monthly_revenue_summary_basic,
     "customer_360": customer_360,
     "monthly_summary_sample": monthly_summary_sample,
     "top_spenders": top_spenders,
     "tier_lookup_sql": tier_lookup_sql,
+    "tier_lookup_python_sql": tier_lookup_python_sql,
     "call_registered_job": call_registered_job,
     "run_all_jobs": run_all_jobs,
     "load_raw_tables": load_raw_tables,
+    "raw_customers": raw_customers,
+    "raw_products": raw_products,
+    "raw_orders": raw_orders,
+    "run_all_monthly_summary": run_all_monthly_summary,
+    "run_all_customer_360": run_all_customer_360,
 }

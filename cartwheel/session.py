@@ -28,9 +28,6 @@ SCALE_CONF = {
     "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # RDD checkpoints (if any) are compressed and cleaned once unreferenced
-    "spark.checkpoint.compress": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -42,16 +39,19 @@ LOCAL_CONF = {
 
 
 def cluster_conf(input_bytes: int, total_cores: int,
-                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+                 target_partition_bytes: int = 256 << 20,
+                 max_partitions: int | None = None) -> dict[str, str]:
     """Size shuffles for a cluster run (pass the result as ``--conf``).
 
     The initial shuffle partition count aims at about ``target_partition_bytes``
     of input per partition, at least two per core. AQE then coalesces toward
     the 128 MB advisory size, so a partition never has to hold more than a
-    bounded slice in executor memory. It is capped to keep map-output
-    metadata manageable. Scan splits stay at 128 MB."""
+    bounded slice in executor memory. ``max_partitions`` limits the count where
+    the driver's map-output metadata must stay small; partitions then grow
+    beyond the target. No limit by default. Scan splits stay at 128 MB."""
     partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
-    partitions = min(partitions, 200_000)
+    if max_partitions is not None:
+        partitions = min(partitions, max_partitions)
     return {
         **SCALE_CONF,
         # on a shared cluster coalesce to the advisory size, not to maximum
@@ -94,12 +94,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if is_local(spark):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cartwheel-ckpt-"))
         return sc.getCheckpointDir()
     raise RuntimeError("set spark.checkpoint.dir to a shared folder for cluster runs")
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one process (``local-cluster`` is not)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def output_root(spark: SparkSession) -> str:
-    """Root of saved tables: the warehouse directory (shared storage on a cluster)."""
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    """Root of saved tables: the warehouse directory.
+
+    On a cluster it must be shared storage. Spark's default is a local folder
+    under the working directory, on which every executor would write to its own
+    disk: it is refused there unless ``spark.sql.warehouse.dir`` was given."""
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    given = spark.sparkContext.getConf().contains("spark.sql.warehouse.dir")
+    if root.startswith(("file:", "/")) and not is_local(spark) and not given:
+        raise RuntimeError("set spark.sql.warehouse.dir to a shared folder for cluster runs")
+    return root
+
+
+def set_defaults(spark: SparkSession, defaults: dict[str, str]) -> None:
+    """Apply SQL settings that neither the submitter nor the session has set."""
+    submitted = spark.sparkContext.getConf()
+    for key, value in defaults.items():
+        if not submitted.contains(key):
+            spark.conf.set(key, value)

@@ -34,7 +34,6 @@ orders              lineitem ⨝ orders on l_orderkey = o_orderkey
 
 from __future__ import annotations
 
-import weakref
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,17 +44,25 @@ from cartwheel.sources.schemas import MONEY, TESTDATA
 
 @dataclass(frozen=True)
 class Shop:
+    """``orders`` has one row per order line. A source that stores orders in
+    two tables also gives them apart, so that operators can price lines before
+    the join and put customers on the (fewer) heads: ``lines`` (order_id,
+    product_id, quantity) and ``heads`` (order_id, customer_id, order_date),
+    with orders = lines ⨝ heads."""
+
     customers: DataFrame
     products: DataFrame
     orders: DataFrame
-
-    def has(self, frame: str, column: str) -> bool:
-        return column in getattr(self, frame).columns
+    lines: DataFrame | None = None
+    heads: DataFrame | None = None
 
     def register_views(self, prefix: str = "shop_") -> None:
-        """Expose the frames to SQL text as ``shop_customers`` etc."""
-        for name in ("customers", "products", "orders"):
-            getattr(self, name).createOrReplaceTempView(f"{prefix}{name}")
+        """Expose the frames to SQL text as ``shop_customers`` etc. Without
+        separate heads, ``shop_lines`` and ``shop_heads`` do not exist."""
+        for name in ("customers", "products", "orders", "lines", "heads"):
+            frame = getattr(self, name)
+            if frame is not None:
+                frame.createOrReplaceTempView(f"{prefix}{name}")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,25 +72,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_BOUND: "weakref.WeakKeyDictionary[SparkSession, dict[str, Shop]]" = weakref.WeakKeyDictionary()
-
-
-def from_testdata(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Shop:
+def from_testdata(spark: SparkSession, sf_dir: str) -> Shop:
     """Bind the parquet test tables to the raw-layer columns (lazy).
 
-    The frames are plans, not data: binding once per session and directory
-    (``reuse``) only saves the driver from re-listing files and
-    re-analysing the same joins for every query."""
-    key = sf_dir.rstrip("/")
-    if reuse and key in _BOUND.get(spark, {}):
-        return _BOUND[spark][key]
-    shop = _bind(spark, key)
-    if reuse:
-        _BOUND.setdefault(spark, {})[key] = shop
-    return shop
-
-
-def _bind(spark: SparkSession, sf_dir: str) -> Shop:
+    Every call lists the files anew: a binding that outlived a call would miss
+    files that arrive during the session."""
     t = lambda name: read_table(spark, sf_dir, name)
 
     # nation ⨝ region is bounded by the nation table: 25 rows, fixed by the
@@ -108,16 +101,18 @@ def _bind(spark: SparkSession, sf_dir: str) -> Shop:
     # lineitem ⨝ orders is fact-to-fact: orders grows with the data and has
     # no size bound, so it is never broadcast. Sort-merge (not shuffled hash):
     # it spills, and AQE can split a skewed order key across tasks.
-    lines = t("lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    heads = t("orders").select("o_orderkey", "o_custkey", "o_orderdate").hint("merge")
-    orders = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-    )
-    return Shop(customers, products, orders)
+    lines = t("lineitem").select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+                                 F.col("l_quantity").cast("int").alias("quantity"))
+    heads = t("orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+                               F.col("o_orderdate").cast("date").alias("order_date"))
+    return Shop(customers, products, join_heads(lines, heads), lines, heads)
+
+
+def join_heads(lines: DataFrame, heads: DataFrame) -> DataFrame:
+    """lines ⨝ heads on order_id, all columns (order_id once)."""
+    keep = [heads[c] for c in heads.columns if c != "order_id"]
+    return lines.join(heads.hint("merge"), lines["order_id"] == heads["order_id"]).select(
+        lines["order_id"], *keep, *[lines[c] for c in lines.columns if c != "order_id"])
 
 
 def from_catalog(spark: SparkSession, db: str = "raw") -> Shop:

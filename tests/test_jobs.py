@@ -155,3 +155,65 @@ def test_run_all_shares_and_removes_its_intermediate(spark, shop):
     assert etl.run_all(spark, shop, P).startswith("Pipeline complete. SUCCESS: Saved 8 rows")
     after = set(os.listdir(base)) if os.path.isdir(base) else set()
     assert not {d for d in after - before if d.startswith("customer_months-")}
+
+
+def test_reload_without_buckets_replaces_the_layout(spark):
+    """A bucketed table saved again without buckets must lose the bucket spec."""
+    import datetime as dt
+    from decimal import Decimal
+
+    from cartwheel.plans.sink import published
+    from cartwheel.sources.catalog import frames_from_rows
+
+    s = spark.newSession()
+    s.conf.set("spark.sql.adaptive.enabled", "false")
+    s.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024))
+    customers = [(i, f"n{i}", "x", f"u{i}@shop.example", "North", None) for i in range(1, 4001)]
+    products = [(p, f"p{p}", "A", Decimal("2.00")) for p in range(1, 6)]
+    orders = [(i, (i * 7) % 4000 + 1, i % 5 + 1, 1, dt.date(2024, 1 + i % 12, 3)) for i in range(8000)]
+    shop = frames_from_rows(s, customers, products, orders)
+    want = sorted(map(tuple, etl.customer_360(shop, P).collect()))
+    for buckets in (8, 0, 4, 4):
+        raw = load_raw_tables(s, shop, "raw_rb", "analytics_rb", buckets=buckets)
+        spec = published(s, "raw_rb.orders").buckets
+        assert (spec is None) == (buckets == 0) and (not spec or spec[0] == str(buckets))
+        assert sorted(map(tuple, etl.customer_360(raw, P).collect())) == want
+
+
+def test_failed_write_does_not_remove_the_version_readers_use(spark):
+    table = "analytics_f.t"
+    save_table(spark.range(5), table)
+    reader = spark.table(table)
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    for _ in range(3):
+        with pytest.raises(Exception):
+            save_table(bad, table)
+    save_table(spark.range(7), table)
+    assert reader.count() == 5 and spark.table(table).count() == 7
+    save_table(spark.range(9), table)
+    assert spark.table(table).count() == 9
+
+
+def test_new_files_are_seen_during_a_session(spark, tmp_path):
+    import shutil
+
+    from conftest import SF0001
+
+    from cartwheel.sources.tables import from_testdata
+    for name in ("region", "nation", "customer", "part", "orders", "lineitem"):
+        (tmp_path / f"{name}.parquet").mkdir()
+        shutil.copy(f"{SF0001}/{name}.parquet", tmp_path / f"{name}.parquet" / "a.parquet")
+    before = from_testdata(spark, str(tmp_path)).customers.count()
+    shutil.copy(f"{SF0001}/customer.parquet", tmp_path / "customer.parquet" / "b.parquet")
+    assert from_testdata(spark, str(tmp_path)).customers.count() == 2 * before
+
+
+def test_frames_outlive_the_other_queries(spark):
+    """All frames first, then all results: no query overwrites another's table."""
+    from conftest import SF0001
+
+    from cartwheel.queries import QUERIES
+    names = ["monthly_revenue_summary", "monthly_summary_sample", "customer_360", "top_spenders", "raw_orders",
+             "call_registered_job", "run_all_jobs", "run_all_customer_360", "load_raw_tables"]
+    frames = {n: QUERIES[n](spark, SF0001) for n in names}
+    assert all(f.collect() for f in frames.values())

@@ -106,7 +106,8 @@ def test_udf_bodies_need_no_package_on_workers(tmp_path):
 def test_cluster_conf_sizes_partitions():
     from cartwheel.session import cluster_conf
     big = cluster_conf(100 * 2**40, 8000)                    # 100 TB on 1000 executors x 8 cores
-    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(big["spark.sql.shuffle.partitions"]) == 409_600              # 256 MB each, no silent limit
+    assert int(cluster_conf(100 * 2**40, 8000, max_partitions=200_000)["spark.sql.shuffle.partitions"]) == 200_000
     mid = cluster_conf(10 * 2**40, 8000)
     assert int(mid["spark.sql.shuffle.partitions"]) == 40_960
     small = cluster_conf(2**30, 64)
