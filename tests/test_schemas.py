@@ -7,6 +7,7 @@ import pytest
 from conftest import SF0001
 
 import __spark_entry__ as contract
+from cartwheel.queries import QUERIES
 
 SCHEMAS = {'table_row_counts': [('table_name', 'string'), ('row_count', 'bigint')],
  'customer_names': [('first_name', 'string'), ('last_name', 'string'), ('region', 'string')],
@@ -99,11 +100,31 @@ SCHEMAS = {'table_row_counts': [('table_name', 'string'), ('row_count', 'bigint'
  'tier_lookup_sql': [('name', 'string'), ('total_spend', 'double'), ('discount_tier', 'string')],
  'call_registered_job': [('status', 'string')],
  'run_all_jobs': [('status', 'string')],
- 'load_raw_tables': [('table_name', 'string'), ('row_count', 'bigint')]}
+ 'load_raw_tables': [('table_name', 'string'), ('row_count', 'bigint')],
+ 'raw_customers': [('customer_id', 'bigint'),
+                   ('first_name', 'string'),
+                   ('last_name', 'string'),
+                   ('email', 'string'),
+                   ('region', 'string'),
+                   ('signup_date', 'date')],
+ 'raw_products': [('product_id', 'bigint'), ('product_name', 'string'), ('category', 'string'), ('unit_price', 'double')],
+ 'raw_orders': [('order_id', 'bigint'),
+                ('customer_id', 'bigint'),
+                ('product_id', 'bigint'),
+                ('quantity', 'int'),
+                ('order_date', 'date')],
+ 'tier_lookup_python_sql': [('name', 'string'),
+                            ('total_spend', 'double'),
+                            ('discount_tier', 'string'),
+                            ('discount_amount', 'double')]}
+SCHEMAS['customer_discounts_udf'] = SCHEMAS['customer_discounts']
+SCHEMAS['run_all_monthly_summary'] = SCHEMAS['monthly_revenue_summary']
+SCHEMAS['run_all_customer_360'] = SCHEMAS['customer_360']
 
 
 def test_every_query_is_pinned():
-    assert set(SCHEMAS) == set(contract.queries())
+    assert set(SCHEMAS) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SCHEMAS))
