@@ -209,7 +209,9 @@ def _pivot_links(sets: DataFrame, p: JaccardParams) -> DataFrame:
 
     low = sets.select("vid", "sh").mapInArrow(mins, "vid long, r int, m long")
     low, _ = materialize(low, "jaccard-minhash")
-    center = low.groupBy("r", "m").agg(F.min("vid").alias("b"), F.count("*").alias("c")).filter("c > 1")
+    # written out, like the other small sides below: a join of two scans lets
+    # the adaptive planner split a hot key
+    center, _ = materialize(low.groupBy("r", "m").agg(F.min("vid").alias("b"), F.count("*").alias("c")).filter("c > 1"), "jaccard-pivot")
     pairs = low.join(center, ["r", "m"]).select(F.col("vid").alias("a"), "b").filter("a <> b").distinct()
 
     def verify(batches):
@@ -238,12 +240,12 @@ def _clusters(sets: DataFrame, p: JaccardParams) -> DataFrame:
 
     post = sets.select("vid", "n", "shared", "common").mapInArrow(postings, "vid long, keep long, h long")
     post, _ = materialize(post, "jaccard-postings")
-    df = post.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
+    df, _ = materialize(post.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1"), "jaccard-df")
     # rarest first; a document's postings are bounded by its own length
     rank = F.row_number().over(Window.partitionBy("vid").orderBy("df", "h"))
     rare = post.join(df, "h").withColumn("rank", rank).filter("rank <= keep").select("vid", "h")
     rare, _ = materialize(rare, "jaccard-rare")
-    first = rare.groupBy("h").agg(F.min("vid").alias("b"))
+    first, _ = materialize(rare.groupBy("h").agg(F.min("vid").alias("b")), "jaccard-first")
     return rare.join(first, "h").select(F.col("vid").alias("a"), "b").filter("a <> b")
 
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,17 +101,21 @@ def fit(training: DataFrame, params: LangParams = LangParams()) -> LangModel:
                  .limit(params.max_languages + 1).collect()
     if len(counts) > params.max_languages:
         raise ValueError(f"more than {params.max_languages} languages; raise LangParams.max_languages")
-    picked = rows.select("lang", F.xxhash64("doc_id", "text").alias("h"),
-                         F.substring("text", 1, params.sample_chars).alias("text"))
+    # one more pass for all languages: rows whose hash lies in the lowest part
+    # of the range, where about twice the sample is expected, then the lowest
+    h = F.xxhash64("doc_id", "text")
+    low = F.lit(False)
+    for r in counts:
+        share = min(1.0, 2 * params.sample_docs / r["n"])
+        low = F.when(F.col("lang") == F.lit(r["lang"]), h <= F.lit(int(-2**63 + share * (2**64 - 2**11)))).otherwise(low)
+    nearest = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    own = rows.filter(low).select("lang", h.alias("h"), F.substring("text", 1, params.sample_chars).alias("text")) \
+        .withColumn("k", nearest).filter(F.col("k") <= params.sample_docs).orderBy("lang", F.desc("k")).collect()
     dictionaries = {}
-    for row in counts:
-        lang = row["lang"]
-        own = (picked.filter(F.col("lang") == F.lit(lang)).orderBy("h", "text")
-                     .limit(params.sample_docs).select("text").collect())
-        # zstandard prefers recent content: the first texts go last
-        content = b" ".join(normalise(r["text"]) for r in reversed(own))[-params.dictionary_bytes:]
+    for row in counts:  # zstandard prefers recent content: the first texts go last
+        content = b" ".join(normalise(r["text"]) for r in own if r["lang"] == row["lang"])[-params.dictionary_bytes:]
         if content:
-            dictionaries[lang] = content
+            dictionaries[row["lang"]] = content
     return LangModel(dictionaries, params)
 
 
