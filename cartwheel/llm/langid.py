@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwheel.llm.words import release_caches
+
 UNDETERMINED = "und"
 
 
@@ -124,6 +126,7 @@ def prediction_column(model: LangModel, text: str | Column = "text") -> Column:
     # a bounded broadcast: max_languages * dictionary_bytes
     @F.pandas_udf(PREDICTION)
     def of(texts: pd.Series) -> pd.DataFrame:
+        release_caches()
         enc = Encoders(model)
         enc._least = model.params.min_margin
         return pd.DataFrame([enc.predict(t) for t in texts], columns=["lang_pred", "score", "accepted"])

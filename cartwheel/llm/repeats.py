@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cartwheel.llm.words import emit, rows
+from cartwheel.llm.words import emit, release_caches, rows
 
 _MARK = np.uint32(0xFFFFFFFF)
 _PACKED = pa.schema([("bucket", pa.int32()), ("credit", pa.bool_()), ("keys", pa.binary()),
@@ -106,6 +106,8 @@ def repeated_hashes(docs: DataFrame, block: int = 500_000) -> DataFrame:
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
     def pack(batches):
+        release_caches()
+
         def blocks():
             keys: list[bytes] = []
             arrays: list[np.ndarray] = []
@@ -126,6 +128,8 @@ def repeated_hashes(docs: DataFrame, block: int = 500_000) -> DataFrame:
         yield from emit(_PACKED, blocks())
 
     def find(batches):
+        release_caches()
+
         def found():
             own: dict[int, list] = {}
             for bucket, credit, k, o, h in rows(batches, *_PACKED.names):

@@ -35,7 +35,7 @@ def default_tokenizer() -> str:
 class CachedTokenizer:
     """text -> packed little-endian uint32 ids; memory bounded by the limits."""
 
-    def __init__(self, vocabulary: str, max_parts: int = 300_000, max_words: int = 600_000):
+    def __init__(self, vocabulary: str, max_parts: int = 200_000, max_words: int = 400_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -23,6 +23,7 @@ class WordHashes(dict):
 
     def __init__(self, limit: int = 200_000):
         super().__init__()
+        release_caches()
         self.limit = limit
 
     def __missing__(self, word: bytes) -> int:
@@ -121,10 +122,28 @@ def emit(schema, buffered: Iterator[tuple], max_rows: int = 2000, max_bytes: int
 
 def process_cache(name: str, make):
     """An object that lives as long as its Python worker: tasks that run one
-    after the other in a worker share it. Keep its size bounded."""
+    after the other in a worker share it. Keep its size bounded. Only the last
+    name's object is kept; tasks without one call :func:`release_caches`, so a
+    worker that goes on with another operator gives the memory back."""
     import builtins
 
     caches = builtins.__dict__.setdefault("_cartwheel_caches", {})
     if name not in caches:
+        caches.clear()
         caches[name] = make()
     return caches[name]
+
+
+def release_caches() -> None:
+    import builtins
+    import ctypes
+    import gc
+
+    caches = builtins.__dict__.get("_cartwheel_caches")
+    if caches:
+        caches.clear()
+        gc.collect()
+        try:  # hand freed pages back to the system, where the C library can
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:
+            pass
