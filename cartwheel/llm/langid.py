@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwheel.llm.words import release_caches
+from cartwheel.llm.words import release_caches, trim
 
 UNDETERMINED = "und"
 
@@ -129,7 +129,10 @@ def prediction_column(model: LangModel, text: str | Column = "text") -> Column:
         release_caches()
         enc = Encoders(model)
         enc._least = model.params.min_margin
-        return pd.DataFrame([enc.predict(t) for t in texts], columns=["lang_pred", "score", "accepted"])
+        out = pd.DataFrame([enc.predict(t) for t in texts], columns=["lang_pred", "score", "accepted"])
+        del enc
+        trim()
+        return out
     return of(F.col(text) if isinstance(text, str) else text)
 
 

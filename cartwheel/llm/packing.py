@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.tokens import piece_rows
+from cartwheel.llm.words import release_caches
 from cartwheel.plans.sink import materialize
 
 
@@ -49,6 +50,7 @@ def _sweep(batches):
     gap here ``(range, rank, piece, length, -)``, ranked from the largest; a
     gap left over ``(range, rank, -, size, sequence)``, ranked from the top of
     the stack (the smallest). The stack holds (slots of) gaps of one range."""
+    release_caches()  # the tokens are counted
     stack: list[tuple[int, int]] = []
     where, unplaced = None, 0
     out: list[tuple] = []

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwheel.llm.words import WordHashes, window_hashes
+from cartwheel.llm.words import WordHashes, trim, window_hashes
 from cartwheel.plans.sink import materialize
 
 SYMBOLS = b"#*$%&|<>"  # fixed values of the rule
@@ -94,8 +94,10 @@ def features_column(text: str | Column = "text") -> Column:
     @F.pandas_udf(FEATURES_TYPE)
     def of(texts: pd.Series) -> pd.DataFrame:
         hashes = WordHashes()
-        out = [features(t, hashes) for t in texts]
-        return pd.DataFrame(out, columns=COUNTS + STATISTICS)
+        out = pd.DataFrame([features(t, hashes) for t in texts], columns=COUNTS + STATISTICS)
+        del hashes
+        trim()
+        return out
     return of(F.col(text) if isinstance(text, str) else text)
 
 

@@ -118,6 +118,8 @@ def emit(schema, buffered: Iterator[tuple], max_rows: int = 2000, max_bytes: int
             out, held = [], 0
     if out:
         yield batch()
+    out, held = [], 0
+    trim()
 
 
 def process_cache(name: str, make):
@@ -136,14 +138,24 @@ def process_cache(name: str, make):
 
 def release_caches() -> None:
     import builtins
-    import ctypes
-    import gc
 
     caches = builtins.__dict__.get("_cartwheel_caches")
     if caches:
         caches.clear()
-        gc.collect()
-        try:  # hand freed pages back to the system, where the C library can
-            ctypes.CDLL(None).malloc_trim(0)
-        except AttributeError:
-            pass
+        trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system: workers stay alive between tasks,
+    and several of them share an executor's memory."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library: it keeps its pages
+        pass
