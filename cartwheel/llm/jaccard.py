@@ -30,7 +30,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -47,7 +46,7 @@ class JaccardParams:
     words: int = 5               # words of a shingle
     percent: int = 80            # link when 100 * intersection >= percent * union
     pivot_hashes: int = 3        # min-hashes that pick pivots
-    block_shingles: int = 600_000  # bound of a search block (memory)
+    block_shingles: int = 300_000  # bound of a search block (memory)
 
     def needed(self, n):
         """T: overlap that a set of n shingles needs with any partner."""
@@ -354,11 +353,8 @@ def deduplicate(docs: DataFrame, params: JaccardParams = JaccardParams()) -> Dat
 
 
 def _without(docs: DataFrame, away: DataFrame) -> DataFrame:
-    @F.pandas_udf("binary")
-    def key(text: pd.Series) -> pd.Series:
-        return pd.Series([text_key(t.encode() if t is not None else b"") for t in text], dtype=object)
-
-    keyed = docs.withColumn("__tkey", key(F.col("text").cast("string")))
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    keyed = docs.withColumn("__tkey", F.unhex(F.md5(text)))  # text_key, in the JVM
     same = keyed["doc_id"].cast("long").eqNullSafe(away["__id"]) & (keyed["__tkey"] == away["__tk"])
     out = keyed.join(away, same, "left_anti").drop("__tkey")
     twice = away.filter("wins")

@@ -97,7 +97,7 @@ def _block(keys: list[bytes], arrays: list[np.ndarray], buckets: int) -> Iterato
     yield from _pack(keys, np.where(repeated, _MARK, owner[starts]), h, (h % np.uint64(buckets)).astype(np.int32), buckets, False)
 
 
-def repeated_hashes(docs: DataFrame, block: int = 500_000) -> DataFrame:
+def repeated_hashes(docs: DataFrame, block: int = 250_000) -> DataFrame:
     """``docs``: columns ``key`` (16-byte binary) and ``hashes`` (packed uint64).
 
     Null or empty ``hashes`` give no rows; rows with equal keys count as one

@@ -81,8 +81,8 @@ def window_hashes(w: np.ndarray, size: int) -> np.ndarray:
 
 
 def text_key(text: bytes) -> bytes:
-    """128-bit identity of a text."""
-    return xxhash.xxh3_128_digest(text)
+    """128-bit identity of a text; Spark's ``unhex(md5(text))`` gives the same."""
+    return hashlib.md5(text, usedforsecurity=False).digest()
 
 
 def sha256_hex(data: bytes) -> str:
