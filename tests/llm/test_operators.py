@@ -308,6 +308,32 @@ def test_chat_escape_is_reversible():
         assert chat.parse("".join(chat.format_turn(r, t)[0] for r, t in turns)) == turns
 
 
+def test_chat_long_conversation_is_rows(spark):
+    """A conversation of a third of all rows: no cell and no task's memory grows
+    with its turns, also where others part from it or end on it."""
+    long = [(None, t, "user" if t % 2 else "assistant", f"turn {t}") for t in range(6000)]
+    others = [(c, t, r, x) for c in range(1, 40) for _, t, r, x in long[:7 * c]]
+    others += [(c, 7 * c, "user", f"parts {c}") for c in range(1, 40, 2)]
+    forest = chat.build_forest(spark.createDataFrame(long + others, "conv_id long, turn long, role string, text string"))
+    assert got(chat.read_back(forest), *CHAT_COLUMNS) == want(chat_expected(long + others))
+    assert forest.leaves.agg(F.max(F.length("path"))).first()[0] == 16
+    assert forest.paths.agg(F.max(F.length("path"))).first()[0] == 16 and "path" not in forest.steps.columns
+    nodes = {r.node: r for r in forest.nodes.collect()}
+    stream = "".join(r.body for r in sorted(nodes.values(), key=lambda r: r.start))
+    whole = {None: ""}
+    for r in sorted(nodes.values(), key=lambda r: r.depth):
+        before, whole[r.node] = whole[r.parent], whole[r.parent] + r.body
+        assert "".join(stream[a:b] for a, b in r.attends) == before and r.position == len(before)
+        assert all(a[1] < b[0] for a, b in zip(r.attends, r.attends[1:]))
+
+
+def test_chat_reads_pieces():
+    turns = [("user", "a </s> b\\"), ("", "<|x|>"), ("assistant", "[INST]"), ("user", "")]
+    text = "".join(chat.format_turn(r, t)[0] for r, t in turns)
+    ends = [sum(len(chat.format_turn(r, t)[0]) for r, t in turns[:k]) for k in range(5)]
+    assert list(chat.read_turns(text[a:b] for a, b in zip(ends, ends[1:]))) == chat.parse(text) == turns
+
+
 # ------------------------------------------------------------------- op6
 def test_language_held_out_accuracy(spark):
     out = queries.op6_language_id(spark, "/root/testdata/sf0.01").join(
