@@ -4,28 +4,33 @@ Every text is read as words. The hashes of its rolling k-word windows are
 joined with those of the templates' windows; a hit at text word i and template
 word j lies on the diagonal i - j. Hits are counted per template and diagonal,
 neighbouring diagonals (a word more or less in between) are merged, and a span
-counts as a match if enough of the template's windows voted for it. Phrases
-(short templates, matched word by word) are the base rules: every place where
+counts as a match if enough of the template's windows voted for it. Where
+matches of different labels overlap, the one with the most votes stands (a
+variant's wording against the plain one's). Phrases (short templates, matched word by word) are the base rules: every place where
 the phrase's words stand consecutively.
 
-All window hashes of all texts take part; the templates are a constant of
-about a hundred windows (:data:`TEMPLATES`, :data:`PHRASES`), so the join is a
-broadcast of a proven bound, and only hits are kept for it.
+All window hashes of all texts take part; the templates are a constant of some
+twenty thousand windows (:data:`TEMPLATES`, :mod:`cartwheel.llm.notices`,
+:data:`PHRASES`), so the join is a broadcast of a proven bound, and only hits
+are kept.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cartwheel.llm.notices import notices
 from cartwheel.plans.sink import materialize
 
 # fixed values: base phrases and their labels
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# fixed values: opening sentences of well-known public licence notices
+# fixed values: single sentences that stand for a licence; whole notices are in
+# cartwheel.llm.notices
 TEMPLATES = {
     "mit": "permission is hereby granted free of charge to any person obtaining a copy of this software "
            "and associated documentation files the software to deal in the software without restriction",
@@ -50,6 +55,7 @@ class LicenseParams:
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_STRETCH = 64  # words
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -60,14 +66,15 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(lowered, _GAP), lambda w: w != "")
 
 
-def template_windows(spark: SparkSession, templates: dict[str, str], k: int) -> DataFrame:
-    """``label, tid, place, windows, h``: one row per template window."""
-    rows = [(label, i, text) for i, (label, text) in enumerate(templates.items())]
-    t = spark.createDataFrame(rows, "label string, tid int, text string")
-    t = t.withColumn("words", words_of(F.col("text"))) \
-         .withColumn("hs", F.transform(F.sequence(F.lit(0), F.size("words") - k),
-                                       lambda i: F.xxhash64(*[F.col("words")[i + j] for j in range(k)])))
-    return t.select("label", "tid", F.size("hs").alias("windows"), F.posexplode("hs").alias("place", "h"))
+def template_windows(spark: SparkSession, templates: list[tuple[str, str, int]], k: int) -> DataFrame:
+    """``label, own, tid, place, windows, h``: one row per template window."""
+    rows = []
+    for tid, (label, text, own) in enumerate(templates):
+        w = [x for x in re.split(_GAP, text.translate(str.maketrans(_UPPER, _LOWER))) if x]  # as words_of
+        n = len(w) - k + 1
+        rows += [(label, own, tid, place, n, w[place:place + k]) for place in range(n)]
+    t = spark.createDataFrame(rows, "label string, own int, tid int, place int, windows int, w array<string>")
+    return t.withColumn("h", F.xxhash64(*[F.col("w")[j] for j in range(k)])).drop("w")
 
 
 def phrase_places(words: Column, phrase: str) -> Column:
@@ -87,36 +94,44 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
-def hits_of(words: Column, wanted: list[int], k: int) -> Column:
-    """Places and hashes of a text's windows that any template has."""
-    n = F.size(words)
-    return F.when(n >= k, F.filter(
-        F.transform(F.sequence(F.lit(0), n - k),
-                    lambda i: F.struct(i.alias("at"), F.xxhash64(*[words[i + j] for j in range(k)]).alias("h"))),
-        lambda x: x["h"].isin(wanted)))
+def hits_of(texts: DataFrame, table: DataFrame, k: int) -> DataFrame:
+    """``key, at`` and the template's columns for every window of
+    ``texts(key, words)`` that a template has. Windows only pass by: the
+    templates are broadcast."""
+    n = F.size("words")
+    windows = F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(*[F.col("words")[i + j] for j in range(k)])))
+    return texts.select("key", F.posexplode(windows).alias("at", "h")).join(F.broadcast(table), "h")
 
 
-def spans(rows: DataFrame, table: DataFrame, params: LicenseParams = LicenseParams()) -> DataFrame:
+def spans(hits: DataFrame, params: LicenseParams = LicenseParams()) -> DataFrame:
     """``key, label, first, last, coverage`` of the template matches.
 
-    ``rows``: ``key`` (any type) and ``hits`` (:func:`hits_of`); ``table``:
-    :func:`template_windows`. ``first`` and ``last`` are the first and last
+    ``hits``: :func:`hits_of` (texts of one key are one text). ``first`` and ``last`` are the first and last
     word of the span; ``coverage`` is the share of the template's windows that
-    vote for it, each counted once."""
+    vote for it, each counted once. Of overlapping spans of different labels
+    those with fewer votes are dropped; passages of a licence's own go first."""
     p = params
-    votes = rows.select("key", F.explode("hits").alias("x")).select("key", "x.at", "x.h") \
-        .join(F.broadcast(table), "h") \
-        .groupBy("key", "label", "tid", "windows", (F.col("at") - F.col("place")).alias("diagonal")).agg(
+    votes = hits \
+        .groupBy("key", "label", "own", "tid", "windows", (F.col("at") - F.col("place")).alias("diagonal")).agg(
             F.min("at").alias("first"), F.max("at").alias("last"), F.collect_set("place").alias("places"))
     # neighbouring diagonals: a new run starts where the next one is too far
     w = Window.partitionBy("key", "tid").orderBy("diagonal")
     new = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(w) > p.max_drift).cast("int"), F.lit(1))
     runs = votes.withColumn("new", new).withColumn("run", F.sum("new").over(w))
-    merged = runs.groupBy("key", "label", "tid", "windows", "run").agg(
+    merged = runs.groupBy("key", "label", "own", "tid", "windows", "run").agg(
         F.min("first").alias("first"), (F.max("last") + p.k - 1).alias("last"),
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("got"))
-    return merged.withColumn("coverage", F.col("got") / F.col("windows")) \
-                 .filter(F.col("coverage") >= p.min_coverage).select("key", "label", "first", "last", "coverage")
+    found = merged.withColumn("coverage", F.col("got") / F.col("windows")).filter(F.col("coverage") >= p.min_coverage)
+    found, _ = materialize(found, "license-spans")
+    # spans that overlap meet in a stretch of text, which only few can touch
+    placed = found.select("key", "label", "tid", "run", "first", "last", F.struct("own", "got").alias("votes"),
+                          F.explode(F.sequence(F.floor(F.col("first") / _STRETCH), F.floor(F.col("last") / _STRETCH))).alias("stretch"))
+    a, b = placed.alias("a"), placed.alias("b")
+    beaten = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.stretch") == F.col("b.stretch"))
+                    & (F.col("a.label") != F.col("b.label")) & (F.col("a.votes") < F.col("b.votes"))
+                    & (F.col("a.first") <= F.col("b.last")) & (F.col("b.first") <= F.col("a.last"))) \
+        .select("a.key", "a.tid", "a.run").distinct()
+    return found.join(beaten, ["key", "tid", "run"], "left_anti").select("key", "label", "first", "last", "coverage")
 
 
 def scan(docs: DataFrame, params: LicenseParams = LicenseParams()) -> DataFrame:
@@ -126,19 +141,17 @@ def scan(docs: DataFrame, params: LicenseParams = LicenseParams()) -> DataFrame:
     ``score`` is 1 where a base phrase stands, else the best coverage of the
     method's matches, else 0. Null and empty texts have no words and no labels
     (empty strings). Matches are found per distinct text, so repeated rows and
-    null ids are harmless; extra columns are ignored. Texts are read once."""
+    null ids are harmless; extra columns are ignored. Texts are read twice."""
     p = params
-    table = template_windows(docs.sparkSession, TEMPLATES, p.k)
-    wanted = sorted(r[0] for r in table.select("h").distinct().collect())  # a constant: TEMPLATES
+    table = template_windows(docs.sparkSession, [(label, t, 0) for label, t in TEMPLATES.items()] + notices(), p.k)
+    table, _ = materialize(table, "license-templates")
     text = F.col("text").cast("string")
     base = F.filter(F.array(*[F.struct(F.lit(label).alias("label"), phrase_places(F.col("words"), phrase).alias("at"))
                               for phrase, label in PHRASES.items()]), lambda x: F.size(x["at"]) > 0)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("key"), words_of(text).alias("words")) \
-        .select("doc_id", "key", F.size("words").cast("long").alias("n_words"), base.alias("base"),
-                hits_of(F.col("words"), wanted, p.k).alias("hits"))
-    rows, _ = materialize(rows, "license-rows")
-    marks = spans(rows.filter(F.size("hits") > 0).select("key", "hits").dropDuplicates(["key"]), table, p) \
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                        F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("key"), words_of(text).alias("words"))
+    rows, _ = materialize(texts.select("doc_id", "key", F.size("words").cast("long").alias("n_words"), base.alias("base")), "license-rows")
+    marks = spans(hits_of(texts.select("key", "words"), table, p.k), p) \
         .groupBy("key").agg(F.collect_set("label").alias("extra"), F.max("coverage").alias("best"))
     marks, _ = materialize(marks, "license-marks")
     places = F.flatten(F.transform("base", lambda x: x["at"]))

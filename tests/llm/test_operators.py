@@ -185,6 +185,23 @@ def test_licenses(frame):
     assert licenses.scan(frame([])).count() == 0
 
 
+def test_licenses_whole_notices_and_variants(frame):
+    from cartwheel.llm.notices import notices
+    whole = {text[:40]: (label, text) for label, text, _ in notices() if len(text) > 500}
+    body = [text for label, text in whole.values()]
+    says = [label for label, text in whole.values()]
+    cc = "This work is licensed under a Creative Commons Attribution{} License and so on"
+    texts = [cc.format(" 4.0 International"), cc.format("-NonCommercial-ShareAlike 4.0 International"), cc.format("-NoDerivs 3.0 Unported"),
+             cc.format("-Non-Commercial 2.0 Generic"), "is licensed under CC BY-NC-ND 4.0 now", "is licensed under CC BY 4.0 now",
+             "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+             "Public License as published by the Free Software Foundation", "This is free and unencumbered software released into the public domain."]
+    want_cc = ["cc-by", "cc-by-nc-sa", "cc-by-nd", "cc-by-nc", "cc-by-nc-nd", "cc-by", "agpl,gpl", "unlicense"]
+    out = {r.doc_id: r.labels for r in licenses.scan(frame(list(enumerate(texts + body)))).collect()}
+    assert [out[i] for i in range(len(texts))] == want_cc
+    for i, label in enumerate(says, len(texts)):  # base phrases add theirs
+        assert set(out[i].split(",")) - {"gpl", "apache"} == {label} - {"gpl", "apache"} and label in out[i].split(","), (body[i - len(texts)][:60], out[i])
+
+
 # ------------------------------------------------------------------- op4
 def test_jaccard_small_table(documents, rows):
     assert got(jaccard.similarity_classes(documents), "doc_id", "n_shingles", "component_id") == want(brute.classes(rows))
