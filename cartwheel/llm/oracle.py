@@ -105,10 +105,30 @@ fit AS (
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JOIN (SELECT * FROM fit WHERE k = 1) USING (r)
 """
 
+OP12 = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS t,
+           sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+x AS (SELECT *, len(t) AS n, [CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT) for i in range(4)] AS r FROM d),
+c AS (
+    SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 50 THEN 'plain'
+                WHEN r[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM x),
+p AS (SELECT doc_id, text, n, form, array_to_string(t[1:a], '') AS prefix, array_to_string(t[a + 1:b], '') AS middle,
+             array_to_string(t[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
 ORACLES: dict[str, str] = {
     "op3_license_scan": OP3,
     "op4_jaccard_join": OP4,
     "op5_chat_format": OP5,
     "op7_substring_dedup": OP7,
     "op8_url_filter": OP8,
+    "op12_fill_in_middle": OP12,
 }

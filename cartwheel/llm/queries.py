@@ -86,6 +86,11 @@ def op10_quality_rules(spark, sf_dir):
         "doc_id", *[F.col("f")[c].alias(c) for c in quality.COUNTS], "base_failed", "kept", "score")
 
 
+def op12_fill_in_middle(spark, sf_dir):
+    from cartwheel.llm import fim
+    return fim.digests(fim.transform(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_sentencepiece": op2_sentencepiece,
@@ -97,4 +102,5 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_fingerprints": op9_fingerprints,
     "op10_quality_rules": op10_quality_rules,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
