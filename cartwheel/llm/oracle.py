@@ -124,6 +124,37 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
 FROM p
 """
 
+# CRC-32 of an id's digits, byte by byte and bit by bit
+_CRC = """xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, [ascii(x)::UBIGINT for x in string_split(CAST(conv_id AS VARCHAR), '')]),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::UBIGINT) ELSE v // 2 END)))"""
+
+OP13 = rf"""
+WITH t AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS words,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                              md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS place
+    FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, CAST({_CRC} % 4 AS BIGINT) AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, 0 AS part, t.place, t.role, t.text, t.words FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.place < c.h
+      UNION ALL SELECT t.conv_id, 1, t.place, t.role, t.text, t.words FROM t JOIN c USING (conv_id) WHERE t.place >= c.h),
+s AS (SELECT conv_id, list([role, text] ORDER BY part, place) AS turns, list(words ORDER BY part, place) AS words FROM r GROUP BY conv_id),
+a AS (SELECT conv_id, coalesce(turns, []) AS turns, words FROM c LEFT JOIN s USING (conv_id)),
+p AS (SELECT conv_id, depth, len(turns) = depth AS ends, CASE WHEN depth > 0 THEN words[depth] ELSE 0 END AS words,
+             md5(CAST(to_json(turns[1:depth]) AS VARCHAR)) AS node,
+             CASE WHEN depth > 0 THEN md5(CAST(to_json(turns[1:depth - 1]) AS VARCHAR)) END AS parent
+      FROM a, unnest(generate_series(0, len(turns))) AS g(depth)),
+n AS (SELECT depth, node, any_value(parent) AS parent, any_value(words) AS words, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+      FROM p GROUP BY depth, node),
+k AS (SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+u AS (SELECT p.depth, p.node, sum((n.n_convs - 1) * n.words) AS saved_tokens, count(*) FILTER (WHERE k.n_children IS NULL) AS n_leaves
+      FROM n JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN k ON k.depth = n.depth AND k.node = n.node GROUP BY ALL)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, u.n_leaves,
+       CAST(u.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN u USING (depth, node) LEFT JOIN k USING (depth, node) LEFT JOIN n AS up ON up.depth = n.depth - 1 AND up.node = n.parent
+"""
+
 ORACLES: dict[str, str] = {
     "op3_license_scan": OP3,
     "op4_jaccard_join": OP4,
@@ -131,4 +162,5 @@ ORACLES: dict[str, str] = {
     "op7_substring_dedup": OP7,
     "op8_url_filter": OP8,
     "op12_fill_in_middle": OP12,
+    "op13_prefix_trie": OP13,
 }

@@ -91,6 +91,11 @@ def op12_fill_in_middle(spark, sf_dir):
     return fim.digests(fim.transform(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op13_prefix_trie(spark, sf_dir):
+    from cartwheel.llm.trie import prefix_trie
+    return prefix_trie(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_sentencepiece": op2_sentencepiece,
@@ -103,4 +108,5 @@ QUERIES: dict[str, Query] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_quality_rules": op10_quality_rules,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_prefix_trie": op13_prefix_trie,
 }
