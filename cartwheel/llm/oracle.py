@@ -105,6 +105,17 @@ fit AS (
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JOIN (SELECT * FROM fit WHERE k = 1) USING (r)
 """
 
+OP11 = """
+WITH v AS (
+    SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
+      FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 OP12 = r"""
 WITH d AS (
     SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS t,
@@ -161,6 +172,7 @@ ORACLES: dict[str, str] = {
     "op5_chat_format": OP5,
     "op7_substring_dedup": OP7,
     "op8_url_filter": OP8,
+    "op11_top_k": OP11,
     "op12_fill_in_middle": OP12,
     "op13_prefix_trie": OP13,
 }

@@ -86,6 +86,11 @@ def op10_quality_rules(spark, sf_dir):
         "doc_id", *[F.col("f")[c].alias(c) for c in quality.COUNTS], "base_failed", "kept", "score")
 
 
+def op11_top_k(spark, sf_dir):
+    from cartwheel.llm.mtree import top_k
+    return top_k(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
 def op12_fill_in_middle(spark, sf_dir):
     from cartwheel.llm import fim
     return fim.digests(fim.transform(_table(spark, sf_dir, "documents").select("doc_id", "text")))
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_fingerprints": op9_fingerprints,
     "op10_quality_rules": op10_quality_rules,
+    "op11_top_k": op11_top_k,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_prefix_trie": op13_prefix_trie,
 }
