@@ -194,12 +194,12 @@ def build(points: DataFrame, params: MTreeParams = MTreeParams()) -> MTree | Non
     # routing objects: a sample by hash, of bounded size; all rows are indexed
     regions = min(-(-told["n"] // p.part_rows), p.max_regions)
     spread = F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 32))
+    picked = []
     if regions > 1:
-        share = min(1.0, 2.0 * regions / told["n"]) * (1 << 32)
+        share = min(1.0, max(2.0 * regions, 64.0) / told["n"]) * (1 << 32)
         picked = points.filter(spread < F.lit(int(share) + 1)).select("dim", "v").distinct().limit(4 * regions).collect()
         picked = sorted((bytes(r["v"]), r["dim"]) for r in picked)[:regions]
-    else:
-        picked = [(b"", 0)]
+    picked = picked or [(b"", 0)]  # one region around the origin, dealt over as many parts as it takes
     objects = _matrix([v for v, _ in picked], [d for _, d in picked], dim).astype(np.float64)
     lifts = space.lift(objects)
 
