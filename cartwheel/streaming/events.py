@@ -43,12 +43,16 @@ def windowed(events: DataFrame, window: str = "1 hour", watermark: str | None =
     event_type, value)``; values are summed as decimals, so the order of
     arrival does not show. Rows with a null time belong to no window. On a
     stream, rows that come later than ``watermark`` behind the latest time seen
-    may find their window closed and are dropped."""
+    may find their window closed and are dropped. Watermarks need instants:
+    times without a zone are taken in the session's (UTC by this library's
+    settings) and given back without one."""
+    kind = events.schema["ts"].dataType
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
     if watermark:
         events = events.withWatermark("ts", watermark)
     return events.groupBy(F.window("ts", window), "event_type").agg(
         F.count(F.lit(1)).alias("n_events"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total_value")) \
-        .select(F.col("window.start").alias("window_start"), "event_type", "n_events", "total_value")
+        .select(F.col("window.start").cast(kind).alias("window_start"), "event_type", "n_events", "total_value")
 
 
 def append_files(windows: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
