@@ -111,7 +111,8 @@ def with_session_start(df: DataFrame, key: str, time: str, gap_seconds: float) -
     if not ranges:
         return local.select(*columns, "session_start")
     start_type = told.schema.field("last").type.field("start").type
-    patch = df.sparkSession.createDataFrame(pa.table({"range": pa.array(ranges, pa.int32()), "began": pa.array(began, start_type)}))
+    patch = df.sparkSession.createDataFrame(pa.table({"range": pa.array(ranges, pa.int32()), "began": pa.array(began, start_type)}),
+                                            T.StructType([T.StructField("range", T.IntegerType()), T.StructField("began", kind)]))
     return local.join(F.broadcast(patch), (F.col("__range") == F.col("range")) & F.col("__opening"), "left").select(
         *columns, F.coalesce("began", "session_start").alias("session_start"))
 
@@ -212,7 +213,9 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
     result = local.filter("__side = 1")
     picked = found
     if ranges:
-        patch = left.sparkSession.createDataFrame(pa.table({"range": pa.array(ranges, pa.int32()), "patch": told.column("row").take(pa.array(takes))}))
+        row = T.StructType([T.StructField(c, fields[c]) for c in values])
+        patch = left.sparkSession.createDataFrame(pa.table({"range": pa.array(ranges, pa.int32()), "patch": told.column("row").take(pa.array(takes))}),
+                                                  T.StructType([T.StructField("range", T.IntegerType()), T.StructField("patch", row)]))
         result = result.join(F.broadcast(patch), (F.col("__range") == F.col("range")) & F.col("__late"), "left")
         picked = [F.when(F.col(t).isNotNull(), F.col(f"__{c}")).otherwise(F.col("patch")[c]).alias(c) for c in values]
     result = result.select(*left.columns, *picked)

@@ -37,6 +37,9 @@ customer_spend AS (
     SELECT o.customer_id, SUM(o.quantity * p.unit_price) AS total_spend
     FROM shop_orders o JOIN shop_products p ON o.product_id = p.product_id
     GROUP BY o.customer_id),
+open_orders AS (
+    SELECT o.o_custkey AS customer_id, o.o_orderkey AS order_id, CAST(o.o_orderdate AS DATE) AS since, max(CAST(l.l_shipdate AS DATE)) AS until
+    FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY ALL),
 customer_tiers AS (
     SELECT c.first_name, c.last_name, c.region, s.total_spend,
            {spend_tier} AS discount_tier
@@ -196,6 +199,58 @@ SELECT first_name AS name, CAST(total_spend AS DOUBLE) AS total_spend, discount_
        CAST(total_spend AS DOUBLE) * ({RATE_CASE}) AS discount_amount
 FROM customer_tiers""",
 }
+SQL |= {
+    "distinct_products_sketch": f"""
+SELECT CASE grouping(region) * 2 + grouping(month) WHEN 0 THEN 'region_month' WHEN 1 THEN 'region' WHEN 2 THEN 'month' ELSE 'all' END AS level,
+       region, month, count(DISTINCT product_id) AS exact_products,
+       greatest(CAST(1.0 AS DOUBLE), CAST(count(DISTINCT product_id) AS DOUBLE) * CAST(0.065 AS DOUBLE)) AS error_bound, TRUE AS within_bound
+FROM (SELECT c.region, CAST(date_trunc('month', o.order_date) AS DATE) AS month, o.product_id
+      FROM shop_orders o JOIN shop_customers c ON o.customer_id = c.customer_id)
+GROUP BY CUBE (region, month)""",
+    "incremental_monthly_summary": _summary(True),
+    "streamed_event_windows": """
+SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n_events,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+FROM events WHERE ts IS NOT NULL GROUP BY ALL""",
+    "event_sessions": """
+SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_events,
+       count(*) FILTER (WHERE event_type = 'purchase') AS n_purchases, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM (
+          SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh
+          FROM events WHERE ts IS NOT NULL))
+GROUP BY user_id, session""",
+    "events_last_order": """
+SELECT e.event_id, e.user_id, e.at, o.last_order, o.orders_that_day, o.last_order_id
+FROM (SELECT event_id, user_id, ts - INTERVAL 9131 DAY AS at FROM events) e
+ASOF LEFT JOIN (SELECT o_custkey AS user_id, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS last_order, count(*) AS orders_that_day,
+                       max(o_orderkey) AS last_order_id FROM orders GROUP BY 1, 2) o
+ON e.user_id = o.user_id AND e.at >= o.last_order""",
+    "overlapping_orders": """
+SELECT a.customer_id, a.order_id AS order_a, b.order_id AS order_b,
+       CAST(date_diff('day', greatest(a.since, b.since), least(a.until, b.until)) + 1 AS INTEGER) AS overlap_days
+FROM open_orders a JOIN open_orders b ON a.customer_id = b.customer_id AND a.order_id < b.order_id AND a.since <= b.until AND b.since <= a.until
+WHERE a.since <= a.until AND b.since <= b.until""",
+    "spend_percentiles": """
+SELECT c.region, count(*) AS customers, CAST(quantile_disc(s.total_spend, 0.5) AS DOUBLE) AS median_spend,
+       CAST(quantile_disc(s.total_spend, 0.9) AS DOUBLE) AS p90_spend, CAST(quantile_disc(s.total_spend, 0.99) AS DOUBLE) AS p99_spend
+FROM customer_spend s JOIN shop_customers c ON s.customer_id = c.customer_id GROUP BY c.region""",
+    "revenue_cube": """
+SELECT region, category, month, CAST(grouping(region) * 4 + grouping(category) * 2 + grouping(month) AS BIGINT) AS grouping_id,
+       CAST(sum(order_total) AS DOUBLE) AS revenue, count(*) AS n_lines, count(DISTINCT cust_id) AS customers
+FROM (SELECT *, CAST(date_trunc('month', order_date) AS DATE) AS month FROM order_details) GROUP BY CUBE (region, category, month)""",
+    "heavy_products": """
+SELECT p.p_partkey AS product_id, p.p_name AS product_name, h.n AS n_lines, h.total AS total_lines
+FROM (SELECT l_partkey, count(*) AS n, (SELECT count(*) FROM lineitem) AS total FROM lineitem GROUP BY l_partkey) h
+JOIN part p ON p.p_partkey = h.l_partkey WHERE h.n > CAST(0.0007 AS DOUBLE) * h.total""",
+    "upserted_customer_360": CUSTOMER_360,
+    "customer_360_dates": f"""
+SELECT x.*, d.first_order_date, d.last_order_date FROM ({CUSTOMER_360}) x JOIN (
+    SELECT o.customer_id, min(o.order_date) AS first_order_date, max(o.order_date) AS last_order_date
+    FROM shop_orders o JOIN shop_products p ON o.product_id = p.product_id GROUP BY o.customer_id) d ON x.customer_id = d.customer_id""",
+    "discounts_from_literal_rows": f"""
+SELECT customer_id, CAST(total_spend AS DOUBLE) AS total_spend, discount_tier, CAST(total_spend AS DOUBLE) * ({RATE_CASE}) AS discount_amount
+FROM (SELECT *, {_spend_tier('total_spend')} AS discount_tier FROM customer_spend)""",
+}
 SQL["customer_tiers_udf"] = SQL["customer_tiers_arrow_udf"] = SQL["customer_tiers"]
 SQL["email_domain_udf"] = SQL["email_domain"]
 SQL["customer_discounts_native"] = SQL["customer_discounts_udf"] = SQL["customer_discounts"]

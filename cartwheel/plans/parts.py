@@ -70,6 +70,15 @@ class PartTable:
         paths = [p for k, p in sorted(self.parts().items()) if keys is None or k in keys]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
+    def drop(self) -> None:
+        """Remove the table and all its directories."""
+        live = published(self.spark, self.table)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        for path in (live.location if live else None, live.previous if live else None, self.root):
+            if path:
+                remove_path(self.spark, path)
+        self.began = None
+
     def commit(self, rows: DataFrame, part: str, replaces, others: DataFrame | None = None) -> dict[str, str]:
         """``rows`` (its column ``part`` names each row's part) take the place
         of the parts ``replaces``, which must name all parts that rows has; a

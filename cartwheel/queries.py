@@ -14,6 +14,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartwheel import analytics
 from cartwheel.config import TESTDATA_PARAMS as P
 from cartwheel.config import Params
 from cartwheel.functions.rules import register_python_functions, register_sql_functions
@@ -243,6 +244,10 @@ def run_all_customer_360(spark, sf_dir):
     return _d(spark.table(etl.target(own, etl.CUSTOMER_360)))
 
 
+def _analytic(name: str) -> Query:
+    return lambda spark, sf_dir: analytics.BUILDERS[name](spark, sf_dir, _own(name, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "table_row_counts": table_row_counts,
     "customer_names": customer_names,
@@ -281,4 +286,5 @@ QUERIES: dict[str, Query] = {
     "raw_orders": raw_orders,
     "run_all_monthly_summary": run_all_monthly_summary,
     "run_all_customer_360": run_all_customer_360,
+    **{name: _analytic(name) for name in analytics.BUILDERS},
 }

@@ -9,7 +9,8 @@ rows (``INSERT INTO ... VALUES``) for fixtures.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,33 @@ def create_namespaces(spark: SparkSession, *names: str) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
+@contextmanager
+def namespace(spark: SparkSession, db: str) -> Iterator[str]:
+    """Make ``db`` the current namespace, in which SQL text finds unqualified
+    names, and go back to the one before; yields that one's name."""
+    before = spark.catalog.currentDatabase()
+    create_namespaces(spark, db)
+    spark.catalog.setCurrentDatabase(db)
+    try:
+        yield before
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+def save_rows(spark: SparkSession, table: str, schema: T.StructType | str, rows: Iterable[Sequence]) -> DataFrame:
+    """Literal rows as a typed catalog table (overwritten); returns it."""
+    save_table(spark.createDataFrame(list(rows), schema).coalesce(1), table)
+    return spark.table(table)
+
+
+def save_shop_rows(spark: SparkSession, db: str, customers: Iterable[Sequence], products: Iterable[Sequence], orders: Iterable[Sequence]) -> Shop:
+    """The raw layer from literal rows, in the column order of the schemas."""
+    create_namespaces(spark, db)
+    for name, rows in (("customers", customers), ("products", products), ("orders", orders)):
+        save_rows(spark, f"{db}.{name}", RAW_TABLES[name], rows)
+    return from_catalog(spark, db)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the schema's columns in order, cast to the declared types;
     columns the source lacks become typed NULLs."""

@@ -35,6 +35,7 @@ orders              lineitem ⨝ orders on l_orderkey = o_orderkey
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,40 +73,65 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+class BoundShop(Shop):
+    """The test tables as a shop. Each frame is bound when it is first used:
+    a report that needs two columns of one table lists that table only."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        object.__setattr__(self, "_table", lambda name: read_table(spark, sf_dir, name))
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        # nation ⨝ region is bounded by the nation table: 25 rows, fixed by the
+        # schema's design, not by the data volume. That proven bound is why it is
+        # the one side broadcast by hint (the planner's own estimate for a join
+        # multiplies the input sizes and would broadcast customer instead).
+        # customer and part grow with the data: their join strategy is left to
+        # the size-checked planner and AQE (broadcast only under the threshold).
+        t = self._table
+        geo = F.broadcast(t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")))
+        return t("customer").join(geo, F.col("c_nationkey") == F.col("n_nationkey")).select(
+            F.col("c_custkey").alias("customer_id"),
+            F.col("c_name").alias("first_name"),
+            F.col("c_mktsegment").alias("last_name"),
+            F.col("r_name").alias("region"),
+        )
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._table("part").select(
+            F.col("p_partkey").alias("product_id"),
+            F.col("p_name").alias("product_name"),
+            F.col("p_type").alias("category"),
+            F.col("p_retailprice").cast(MONEY).alias("unit_price"),
+        )
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return self._table("lineitem").select(
+            F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+            F.col("l_quantity").cast("int").alias("quantity"))
+
+    @cached_property
+    def heads(self) -> DataFrame:
+        return self._table("orders").select(
+            F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").cast("date").alias("order_date"))
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        # lineitem ⨝ orders is fact-to-fact: orders grows with the data and has
+        # no size bound, so it is never broadcast. Sort-merge (not shuffled hash):
+        # it spills, and AQE can split a skewed order key across tasks.
+        return join_heads(self.lines, self.heads)
+
+
 def from_testdata(spark: SparkSession, sf_dir: str) -> Shop:
     """Bind the parquet test tables to the raw-layer columns (lazy).
 
     Every call lists the files anew: a binding that outlived a call would miss
     files that arrive during the session."""
-    t = lambda name: read_table(spark, sf_dir, name)
-
-    # nation ⨝ region is bounded by the nation table: 25 rows, fixed by the
-    # schema's design, not by the data volume. That proven bound is why it is
-    # the one side broadcast by hint (the planner's own estimate for a join
-    # multiplies the input sizes and would broadcast customer instead).
-    # customer and part grow with the data: their join strategy is left to
-    # the size-checked planner and AQE (broadcast only under the threshold).
-    geo = F.broadcast(t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")))
-    customers = t("customer").join(geo, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("first_name"),
-        F.col("c_mktsegment").alias("last_name"),
-        F.col("r_name").alias("region"),
-    )
-    products = t("part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").cast(MONEY).alias("unit_price"),
-    )
-    # lineitem ⨝ orders is fact-to-fact: orders grows with the data and has
-    # no size bound, so it is never broadcast. Sort-merge (not shuffled hash):
-    # it spills, and AQE can split a skewed order key across tasks.
-    lines = t("lineitem").select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
-                                 F.col("l_quantity").cast("int").alias("quantity"))
-    heads = t("orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-                               F.col("o_orderdate").cast("date").alias("order_date"))
-    return Shop(customers, products, join_heads(lines, heads), lines, heads)
+    return BoundShop(spark, sf_dir)
 
 
 def join_heads(lines: DataFrame, heads: DataFrame) -> DataFrame:

@@ -140,3 +140,22 @@ def test_map_only_queries_have_no_exchange(spark, td):
                R.price_tiers(td, P)):
         text = plan(df)
         assert "Exchange hashpartitioning" not in text and "Exchange rangepartitioning" not in text
+
+
+def test_cube_reads_the_fact_once(spark):
+    """All grouping sets come from one aggregate: the lattice joins nothing and scans no fact."""
+    from cartwheel.analytics import cube_base
+    from cartwheel.sources.tables import from_testdata
+
+    text = plan(cube_base(from_testdata(spark, SF001)))
+    assert text.count("lineitem.parquet") == 1 and "Expand" not in text
+
+
+def test_report_binds_only_its_tables(spark, monkeypatch):
+    from cartwheel.operators import reports
+    from cartwheel.sources import tables
+
+    seen = []
+    monkeypatch.setattr(tables, "read_table", lambda s, d, n, f=tables.read_table: (seen.append(n), f(s, d, n))[1])
+    reports.customer_names(tables.from_testdata(spark, SF001))
+    assert sorted(seen) == ["customer", "nation", "region"]

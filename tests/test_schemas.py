@@ -117,6 +117,23 @@ SCHEMAS = {'table_row_counts': [('table_name', 'string'), ('row_count', 'bigint'
                             ('total_spend', 'double'),
                             ('discount_tier', 'string'),
                             ('discount_amount', 'double')]}
+SCHEMAS |= {
+ 'distinct_products_sketch': [('level', 'string'), ('region', 'string'), ('month', 'date'), ('exact_products', 'bigint'),
+                              ('error_bound', 'double'), ('within_bound', 'boolean')],
+ 'incremental_monthly_summary': SCHEMAS['monthly_revenue_summary'],
+ 'streamed_event_windows': [('window_start', 'timestamp_ntz'), ('event_type', 'string'), ('n_events', 'bigint'), ('total_value', 'double')],
+ 'event_sessions': [('user_id', 'bigint'), ('session_start', 'timestamp_ntz'), ('session_end', 'timestamp_ntz'), ('n_events', 'bigint'),
+                    ('n_purchases', 'bigint'), ('total_value', 'double')],
+ 'events_last_order': [('event_id', 'bigint'), ('user_id', 'bigint'), ('at', 'timestamp_ntz'), ('last_order', 'timestamp_ntz'),
+                       ('orders_that_day', 'bigint'), ('last_order_id', 'bigint')],
+ 'overlapping_orders': [('customer_id', 'bigint'), ('order_a', 'bigint'), ('order_b', 'bigint'), ('overlap_days', 'int')],
+ 'spend_percentiles': [('region', 'string'), ('customers', 'bigint'), ('median_spend', 'double'), ('p90_spend', 'double'), ('p99_spend', 'double')],
+ 'revenue_cube': [('region', 'string'), ('category', 'string'), ('month', 'date'), ('grouping_id', 'bigint'), ('revenue', 'double'),
+                  ('n_lines', 'bigint'), ('customers', 'bigint')],
+ 'heavy_products': [('product_id', 'bigint'), ('product_name', 'string'), ('n_lines', 'bigint'), ('total_lines', 'bigint')],
+ 'upserted_customer_360': SCHEMAS['customer_360'],
+ 'customer_360_dates': [*SCHEMAS['customer_360'], ('first_order_date', 'date'), ('last_order_date', 'date')],
+ 'discounts_from_literal_rows': [('customer_id', 'bigint'), ('total_spend', 'double'), ('discount_tier', 'string'), ('discount_amount', 'double')]}
 SCHEMAS['customer_discounts_udf'] = SCHEMAS['customer_discounts']
 SCHEMAS['run_all_monthly_summary'] = SCHEMAS['monthly_revenue_summary']
 SCHEMAS['run_all_customer_360'] = SCHEMAS['customer_360']
