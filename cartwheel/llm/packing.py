@@ -99,13 +99,18 @@ def _across(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int
     return out
 
 
-def _round(spark: SparkSession, pieces: DataFrame, gaps: DataFrame, longest: int, shortest: int) -> DataFrame:
-    """``item, size, gap``: each open piece with the sequence it goes to, if any."""
+#: pieces and gaps of a range, about: late rounds, in which few are open, take few ranges
+RANGE_ROWS = 25_000
+
+
+def _round(spark: SparkSession, pieces: DataFrame, gaps: DataFrame, longest: int, shortest: int, rows: int) -> DataFrame:
+    """``item, size, gap``: each open piece with the sequence it goes to, if any.
+    ``rows``: pieces and gaps together."""
     slots = gaps.filter(F.col("gap") >= shortest).withColumn("n", F.greatest(F.lit(1), F.floor(F.col("gap") / longest))) \
         .select(F.lit(0).alias("kind"), F.floor(F.col("gap") / F.col("n")).alias("size"),
                 F.col("seq").alias("ident"), F.explode(F.sequence(F.lit(1), F.col("n"))).alias("slot")).drop("slot")
     both = slots.unionByName(pieces.select(F.lit(1).alias("kind"), F.col("length").alias("size"), F.col("item").alias("ident")))
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    n = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), 1 + rows // RANGE_ROWS)
     order = [F.desc("size"), F.asc("kind"), F.asc("ident")]
     swept = (both.repartitionByRange(n, *order).sortWithinPartitions(*order)
                  .withColumn("range", F.spark_partition_id().cast("long")).mapInArrow(_sweep, _SWEPT_DDL))
@@ -139,18 +144,18 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     open_, _ = materialize(pieces.filter(F.col("length") <= capacity // 2).select("item", F.col("length").cast("long").alias("length")), "pack-open")
     results, opened = [placed], 0
     while True:
-        o = open_.agg(F.max("length"), F.min("length"), F.sum("length")).first()
-        longest, shortest, total = o
+        o = open_.agg(F.max("length"), F.min("length"), F.sum("length"), F.count("*")).first()
+        longest, shortest, total, n_open = o
         if longest is None:
             break
-        g = gaps.filter(F.col("gap") >= shortest).agg(F.max("gap"), F.sum("gap")).first()
+        g = gaps.filter(F.col("gap") >= shortest).agg(F.max("gap"), F.sum("gap"), F.count("*")).first()
         need = max(0, -(-(total - (g[1] or 0)) // capacity))
         if not need and (g[0] or 0) < longest:
             need = 1
         if need:
             new = spark.range(opened, opened + need).select((-F.col("id") - 1).alias("seq"), F.lit(capacity).cast("long").alias("gap"))
             gaps, opened = gaps.unionByName(new), opened + need
-        got, _ = materialize(_round(spark, open_, gaps, longest, shortest), "pack-round")
+        got, _ = materialize(_round(spark, open_, gaps, longest, shortest, n_open + g[2] + need), "pack-round")
         hit = got.filter("gap is not null").select("item", "size", F.col("gap").alias("seq"))
         # a gap's pieces of this round lie one behind the other (a sequence holds at most `capacity` pieces)
         w = Window.partitionBy("seq").orderBy(F.desc("size"), "item")

@@ -33,9 +33,12 @@ def default_tokenizer() -> str:
 
 
 class CachedTokenizer:
-    """text -> packed little-endian uint32 ids; memory bounded by the limits."""
+    """text -> packed little-endian uint32 ids; memory bounded by the limits:
+    ``max_parts`` parts and words of at most ``max_length`` characters are known,
+    ``max_words`` more have been met once. What is met once more becomes known,
+    so the many that never come again do not push out the others."""
 
-    def __init__(self, vocabulary: str, max_parts: int = 200_000, max_words: int = 400_000):
+    def __init__(self, vocabulary: str, max_parts: int = 400_000, max_words: int = 200_000, max_length: int = 64):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -44,9 +47,11 @@ class CachedTokenizer:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.model = self.tokenizer.model
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.parts: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.max_parts, self.max_words = max_parts, max_words
+        # one cache for parts and the words in them: a part that is a word has the same ids
+        self.known: dict[str, bytes] = {}
+        self.once: set[str] = set()
+        self.max_parts, self.max_words, self.max_length = max_parts, max_words, max_length
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]  # shared by all entries
         # byte-level alphabet: printable bytes stand for themselves, others move up
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in keep]
@@ -56,19 +61,34 @@ class CachedTokenizer:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def word(self, word: str) -> bytes:
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) >= self.max_words:
-                self.words.clear()
-            chars = word.encode().decode("latin-1").translate(self.bytes_to_chars)
-            found = self.words[word] = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(chars))
+        """Ids of a word of the vocabulary's split, which is not known yet."""
+        ids = self.id_bytes
+        chars = word.encode().decode("latin-1").translate(self.bytes_to_chars)
+        return self.keep(word, b"".join([ids[t.id] for t in self.model.tokenize(chars)]))
+
+    def keep(self, part: str, found: bytes) -> bytes:
+        if part in self.once:
+            if len(self.known) >= self.max_parts:
+                self.known.clear()
+            self.known[part] = found
+            self.once.discard(part)
+        elif len(part) <= self.max_length:
+            if len(self.once) >= self.max_words:
+                self.once.clear()
+            self.once.add(part)
         return found
 
     def part(self, part: str) -> bytes:
-        if len(self.parts) >= self.max_parts:
-            self.parts.clear()
-        found = self.parts[part] = b"".join(map(self.word, _SPLIT.findall(part)))
-        return found
+        known = self.known.get
+        found = known(part)
+        if found is not None:  # met before in this text
+            return found
+        if part.isalpha():  # of Latin-1: one word
+            return self.word(part)
+        words = _SPLIT.findall(part)
+        if len(words) == 1:
+            return self.word(part)
+        return self.keep(part, b"".join([known(w) or self.word(w) for w in words]))
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -76,10 +96,9 @@ class CachedTokenizer:
         if _ODD.search(text) or any(s in text for s in self.specials):
             return self.whole(text)
         parts = text.lower().split()
-        known = self.parts
-        out = list(map(known.get, parts))
+        out = list(map(self.known.get, parts))
         if None in out:
-            out = [v if v is not None else known.get(p) or self.part(p) for v, p in zip(out, parts)]
+            out = [self.part(p) if v is None else v for v, p in zip(out, parts)]
         return b"".join(out)
 
 
