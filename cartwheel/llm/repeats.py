@@ -13,14 +13,16 @@ Two shuffles, by hash and back by document, and they survive any skew:
   third of all documents share costs one entry per block, not per document;
 * postings travel as packed arrays, one row per block and bucket, not as rows
   of their own;
-* reduce side, a task sorts its bucket's postings (a bounded slice: buckets
-  follow ``spark.sql.shuffle.partitions``, sized from the input) and sends the
+* reduce side, a task's rows come sorted by bucket. It has several buckets and
+  holds the postings of one of them at a time, sorts these and sends the
   repeated ones on, packed by their documents' bucket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -53,22 +55,20 @@ def _runs(h: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     return order, starts, np.add.reduceat(new.astype(np.int64), starts)
 
 
-def _pack(keys: list[bytes], owner: np.ndarray, h: np.ndarray, bucket: np.ndarray, buckets: int, credit: bool) -> Iterator[tuple]:
-    """One row per bucket; owners are numbered anew within it."""
+def _pack(keys: list[bytes], owner: np.ndarray, h: np.ndarray, bucket: np.ndarray, credit: bool) -> Iterator[tuple]:
+    """One row per bucket that has any; owners are numbered anew within it."""
     by = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
-    for b in range(buckets):
-        part = by[cuts[b]:cuts[b + 1]]
-        if len(part):
-            ids, local = np.unique(owner[part], return_inverse=True)
-            local = np.where(owner[part] == _MARK, _MARK, local).astype(np.uint32)
-            yield (b, credit, b"".join(keys[i] for i in ids if i != _MARK), local.tobytes(), h[part].tobytes())
+    there, cuts = np.unique(bucket[by], return_index=True)
+    for b, part in zip(there.tolist(), np.split(by, cuts[1:])):
+        ids, local = np.unique(owner[part], return_inverse=True)
+        local = np.where(owner[part] == _MARK, _MARK, local).astype(np.uint32)
+        yield (b, credit, b"".join(keys[i] for i in ids if i != _MARK), local.tobytes(), h[part].tobytes())
 
 
 def _pack_by_key(keys: list[bytes], owner: np.ndarray, h: np.ndarray, buckets: int) -> Iterator[tuple]:
     """Rows that bring repeated hashes to their documents' buckets."""
     at = np.frombuffer(b"".join(k[8:16] for k in keys), dtype="<u8") % np.uint64(buckets)
-    yield from _pack(keys, owner, h, at.astype(np.int32)[owner], buckets, True)
+    yield from _pack(keys, owner, h, at.astype(np.int32)[owner], True)
 
 
 def _unpack(parts: list[tuple]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -94,7 +94,11 @@ def _block(keys: list[bytes], arrays: list[np.ndarray], buckets: int) -> Iterato
         yield from _pack_by_key(keys, owner[credited], h[credited], buckets)
     # one posting per hash: its owner, or the mark that it already repeats
     h = h[starts]
-    yield from _pack(keys, np.where(repeated, _MARK, owner[starts]), h, (h % np.uint64(buckets)).astype(np.int32), buckets, False)
+    yield from _pack(keys, np.where(repeated, _MARK, owner[starts]), h, (h % np.uint64(buckets)).astype(np.int32), False)
+
+
+#: buckets of a task, which are held one after the other
+BUCKETS = 8
 
 
 def repeated_hashes(docs: DataFrame, block: int = 250_000) -> DataFrame:
@@ -103,7 +107,8 @@ def repeated_hashes(docs: DataFrame, block: int = 250_000) -> DataFrame:
     Null or empty ``hashes`` give no rows; rows with equal keys count as one
     document. Returns ``key, hashes``, one row per key (see module text)."""
     spark = docs.sparkSession
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    buckets = BUCKETS * tasks
 
     def pack(batches):
         release_caches()
@@ -131,15 +136,17 @@ def repeated_hashes(docs: DataFrame, block: int = 250_000) -> DataFrame:
         release_caches()
 
         def found():
-            own: dict[int, list] = {}
-            for bucket, credit, k, o, h in rows(batches, *_PACKED.names):
-                if credit:
-                    yield (bucket, True, k, o, h)
-                else:
-                    own.setdefault(bucket, []).append((k, o, h))
-            for parts in own.values():
-                keys, owner, h = _unpack(parts)
-                parts.clear()
+            for bucket, told in groupby(rows(batches, *_PACKED.names), itemgetter(0)):
+                own = []
+                for _, credit, k, o, h in told:
+                    if credit:
+                        yield (bucket, True, k, o, h)
+                    else:
+                        own.append((k, o, h))
+                if not own:
+                    continue
+                keys, owner, h = _unpack(own)
+                del own
                 if not keys:
                     continue
                 marked = owner < 0
@@ -153,12 +160,8 @@ def repeated_hashes(docs: DataFrame, block: int = 250_000) -> DataFrame:
 
     def collect(batches):
         def found():
-            own: dict[int, list] = {}
-            for bucket, _, k, o, h in rows(batches, *_PACKED.names):
-                own.setdefault(bucket, []).append((k, o, h))
-            for parts in own.values():
-                keys, owner, h = _unpack(parts)
-                parts.clear()
+            for _, told in groupby(rows(batches, *_PACKED.names), itemgetter(0)):
+                keys, owner, h = _unpack([r[2:] for r in told])
                 names, ids = np.unique(np.array(keys, dtype="V16"), return_inverse=True)
                 who = ids[owner]
                 order = np.lexsort((h, who))
@@ -172,5 +175,5 @@ def repeated_hashes(docs: DataFrame, block: int = 250_000) -> DataFrame:
         yield from emit(_FOUND, found())
 
     packed = docs.select("key", "hashes").mapInArrow(pack, _PACKED_DDL)
-    found = packed.repartition(buckets, "bucket").mapInArrow(find, _PACKED_DDL)
-    return found.repartition(buckets, "bucket").mapInArrow(collect, "key binary, hashes binary")
+    found = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(find, _PACKED_DDL)
+    return found.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(collect, "key binary, hashes binary")

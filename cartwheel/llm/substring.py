@@ -24,13 +24,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.llm.repeats import repeated_hashes
-from cartwheel.llm.words import WordHashes, emit, rows, sha256_hex, text_key, window_hashes
+from cartwheel.llm.words import WordHashes, emit, rows, sha256_hex, trim, window_hashes
 from cartwheel.plans.sink import materialize
 
 
@@ -101,12 +101,20 @@ def spans(mask: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b - a)) for a, b in zip(edge[::2], edge[1::2])]
 
 
-_KEY = "__tkey"
+_MARKS = ("key", "anchors", "windows", "copies")
 
 
-def _keyed(docs: DataFrame, text: str = "text") -> DataFrame:
+def _fresh(columns: list[str]) -> dict[str, str]:
+    """Names for the marks that no input column has."""
+    prefix = "__"
+    while any(c.startswith(prefix) for c in columns):
+        prefix += "_"
+    return {m: prefix + m for m in _MARKS}
+
+
+def _keyed(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
     """Adds the text's 128-bit identity (JVM side; null text as empty)."""
-    return docs.withColumn(_KEY, F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))))
+    return docs.withColumn(name, F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))))
 
 
 def repeats(docs: DataFrame, p: SubstringParams = SubstringParams()) -> DataFrame:
@@ -115,7 +123,7 @@ def repeats(docs: DataFrame, p: SubstringParams = SubstringParams()) -> DataFram
     ``anchors`` and ``windows``: packed hashes that occur in another text;
     ``copies``: whether the whole text occurs in more than one row. Texts that
     only repeat themselves appear too. Written once."""
-    keyed = _keyed(docs.select("text")).select(F.col(_KEY).alias("key"), F.col("text").cast("string").cast("binary").alias("text"))
+    keyed = _keyed(docs.select("text"), "key").select("key", F.col("text").cast("string").cast("binary").alias("text"))
 
     def seeds(batches):
         def out():
@@ -152,11 +160,12 @@ def repeats(docs: DataFrame, p: SubstringParams = SubstringParams()) -> DataFram
     return materialize(hot.join(windows, "key", "left").select("key", "anchors", "windows", "copies"), "substring-found")[0]
 
 
-def marked(docs: DataFrame, params: SubstringParams = SubstringParams()) -> DataFrame:
-    """``docs`` with the columns ``__tkey, anchors, windows, copies`` prefixed by ``__``."""
+def marked(docs: DataFrame, params: SubstringParams = SubstringParams()) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with the marks of :func:`repeats`, and the marks' column names."""
+    names = _fresh(docs.columns)
     found = repeats(docs, params)
-    found = found.select(F.col("key").alias(_KEY), *[F.col(c).alias(f"__{c}") for c in ("anchors", "windows", "copies")])
-    return _keyed(docs).join(found, _KEY, "left")
+    found = found.select(*[F.col(m).alias(names[m]) for m in _MARKS])
+    return _keyed(docs, names["key"]).join(found, names["key"], "left"), names
 
 
 def cut(words: list[bytes], hashes: WordHashes, anchors, windows, copies, p: SubstringParams) -> np.ndarray:
@@ -176,13 +185,13 @@ def digests(docs: DataFrame, params: SubstringParams = SubstringParams()) -> Dat
     with equal texts of at least ``window`` words are each other's repeats, so
     nothing of them stays. Extra columns and null ids are harmless."""
     p = params
-    d = marked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), p)
-    d = d.select("doc_id", F.col("text").cast("string").cast("binary").alias("text"), "__anchors", "__windows", "__copies")
+    d, names = marked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), p)
+    d = d.select("doc_id", F.col("text").cast("string").cast("binary").alias("text"), *[F.col(names[m]).alias(m) for m in _MARKS[1:]])
 
     def of(batches):
         def out():
             hashes = WordHashes()
-            for doc_id, text, anchors, windows, copies in rows(batches, "doc_id", "text", "__anchors", "__windows", "__copies"):
+            for doc_id, text, anchors, windows, copies in rows(batches, "doc_id", "text", *_MARKS[1:]):
                 words = (text or b"").split()
                 mask = cut(words, hashes, anchors, windows, copies, p)
                 removed = int(mask.sum())
@@ -198,28 +207,39 @@ def remove_repeats(docs: DataFrame, params: SubstringParams = SubstringParams())
     """``docs`` with every repeat taken out of ``text`` (and ``n_chars`` set to
     its new length, where that column exists). Texts without repeats stay as
     they are, byte for byte; where something goes, the kept words are joined by
-    one space. No row goes: a text that is all repeats becomes empty."""
-    p = params
+    one space. No row goes: a text that is all repeats becomes empty, a null one
+    stays null. All other columns, whatever their names, pass unchanged. Rows
+    are worked on a few at a time, and a batch without repeats is handed on as
+    it came."""
+    p, columns = params, docs.columns
+    d, names = marked(docs, p)
+    d = d.withColumn("text", F.col("text").cast("string")).select(*columns, *[names[m] for m in _MARKS[1:]])
+    at, marks = columns.index("text"), [names[m] for m in _MARKS[1:]]
 
-    @F.pandas_udf("string")
-    def kept(text: pd.Series, anchors: pd.Series, windows: pd.Series, copies: pd.Series) -> pd.Series:
+    def of(batches):
         hashes = WordHashes()
-        out = []
-        for t, a, w, c in zip(text, anchors, windows, copies):
-            if t is None:
-                out.append(None)
-                continue
-            words = t.encode().split()
-            mask = cut(words, hashes, a, w, None if c is None or c != c else bool(c), p)
-            out.append(b" ".join(x for x, m in zip(words, mask) if not m).decode() if mask.any() else t)
-        return pd.Series(out, dtype=object)
-
-    columns = docs.columns
-    d = marked(docs, p)
-    d = d.withColumn("text", F.when(F.col("__copies").isNull(), F.col("text").cast("string"))
-                     .otherwise(kept(F.col("text").cast("string"), "__anchors", "__windows", "__copies")))
+
+        def kept(text, anchors, windows, copies):
+            if text is None or copies is None:
+                return text
+            words = text.encode().split()
+            mask = cut(words, hashes, anchors, windows, copies, p)
+            return b" ".join([w for w, m in zip(words, mask) if not m]).decode() if mask.any() else text
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                told = part.column(marks[2]).is_valid()
+                own = [part.column(c) for c in columns]
+                if told.true_count:
+                    own[at] = pa.array([kept(*row) for row in zip(*(part.column(c).to_pylist() for c in ("text", *marks)))], own[at].type)
+                yield pa.RecordBatch.from_arrays([*own, told], names=[*columns, marks[2]])
+        del hashes
+        trim()
+
+    schema = T.StructType([*d.select(*columns).schema.fields, T.StructField(marks[2], T.BooleanType())])
+    out = d.mapInArrow(of, schema)
     if "n_chars" in columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        d = d.withColumn("n_chars", F.when(F.col("__copies").isNull(), F.col("n_chars"))
-                         .otherwise(F.length("text")).cast(kind))
-    return d.select(*columns)
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col(marks[2]), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*columns)

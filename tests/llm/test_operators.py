@@ -529,3 +529,27 @@ def test_code_runs_in_workers_without_the_package():
     code = ("import sys, pickle; f, h, q = pickle.loads(sys.stdin.buffer.read()); assert len(f(b'a b c d e f'.split(), h(), 5)) == 2; "
             "assert q('a b', h())[0] == 2; assert 'cartwheel' not in sys.modules")
     subprocess.run([sys.executable, "-c", code], input=blob, check=True, cwd="/", env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+
+
+def test_remove_repeats_keeps_columns_of_any_name(frame):
+    passage = " ".join(f"p{i}" for i in range(40))
+    docs = frame([(1, f"a {passage} b"), (2, f"{passage} c"), (3, None), (4, "d")]).selectExpr(
+        "*", "'k' as __tkey", "'a' as __anchors", "doc_id as ___copies", "array(doc_id) as windows")
+    got = substring.remove_repeats(docs)
+    assert got.dtypes == docs.dtypes
+    assert {r.doc_id: r.text for r in got.collect()} == {1: "a b", 2: "c", 3: None, 4: "d"}
+    assert got.drop("text", "n_chars").collect() and sorted(map(repr, got.drop("text", "n_chars").collect())) == sorted(
+        map(repr, docs.drop("text", "n_chars").collect()))
+
+
+def test_repeats_pack_only_buckets_that_have_rows():
+    import numpy as np
+
+    from cartwheel.llm import repeats
+
+    keys = [bytes([i]) * 16 for i in range(5)]
+    h = np.arange(1, 51, dtype=np.uint64)
+    packed = list(repeats._block(keys, np.split(h, 5), 1 << 20))
+    assert len(packed) == 50 and all(k for _, _, k, _, _ in packed)
+    got, owner, back = repeats._unpack([r[2:] for r in packed])
+    assert sorted(zip((got[o] for o in owner), back.tolist())) == sorted((keys[i // 10], i + 1) for i in range(50))
