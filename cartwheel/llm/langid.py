@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwheel.llm.words import release_caches, trim
+from cartwheel.llm.words import release_caches, trim, values
 
 UNDETERMINED = "und"
 
@@ -124,12 +124,14 @@ def fit(training: DataFrame, params: LangParams = LangParams()) -> LangModel:
 def prediction_column(model: LangModel, text: str | Column = "text") -> Column:
     """Struct ``lang_pred, score, accepted`` of a string column."""
     # a bounded broadcast: max_languages * dictionary_bytes
-    @F.pandas_udf(PREDICTION)
-    def of(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf(PREDICTION)
+    def of(texts: pa.Array) -> pa.Array:
         release_caches()
         enc = Encoders(model)
         enc._least = model.params.min_margin
-        out = pd.DataFrame([enc.predict(t) for t in texts], columns=["lang_pred", "score", "accepted"])
+        lang, score, accepted = zip(*(enc.predict(t) for t in values(texts))) if len(texts) else ((), (), ())
+        out = pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(accepted, pa.bool_())],
+                                         names=["lang_pred", "score", "accepted"])
         del enc
         trim()
         return out

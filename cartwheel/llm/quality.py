@@ -18,11 +18,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwheel.llm.words import WordHashes, trim, window_hashes
+from cartwheel.llm.words import WordHashes, trim, values, window_hashes
 from cartwheel.plans.sink import materialize
 
 SYMBOLS = b"#*$%&|<>"  # fixed values of the rule
@@ -91,10 +92,14 @@ def features(text: str | None, hashes: WordHashes) -> tuple:
 
 def features_column(text: str | Column = "text") -> Column:
     """Struct of :data:`COUNTS` and :data:`STATISTICS` of a string column."""
-    @F.pandas_udf(FEATURES_TYPE)
-    def of(texts: pd.Series) -> pd.DataFrame:
+    names = COUNTS + STATISTICS
+    types = [pa.int64()] * len(COUNTS) + [pa.float64()] * len(STATISTICS)
+
+    @F.arrow_udf(FEATURES_TYPE)
+    def of(texts: pa.Array) -> pa.Array:
         hashes = WordHashes()
-        out = pd.DataFrame([features(t, hashes) for t in texts], columns=COUNTS + STATISTICS)
+        columns = list(zip(*(features(t, hashes) for t in values(texts)))) or [()] * len(names)
+        out = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
         del hashes
         trim()
         return out
@@ -258,10 +263,13 @@ def quality_filter(spark: SparkSession, docs: DataFrame, labels: DataFrame,
 
     Null and empty texts have no words and go (base rule). Repeated rows are
     judged alike; a null ``doc_id`` only means no label. Empty tables give an
-    empty result. The text's statistics are computed once to fit and once to
-    decide, so no text is shuffled."""
-    model = fit(document_statistics(docs), labels, params)
+    empty result; extra columns pass whatever their names. The statistics are
+    computed once and written beside the rows: fitting reads them alone, the
+    decision reads both, and no text is shuffled."""
     temp = "__quality_f"
-    out = docs.withColumn(temp, features_column(F.col("text").cast("string")))
+    while temp in docs.columns:
+        temp += "_"
+    told, _ = materialize(docs.withColumn(temp, features_column(F.col("text").cast("string"))), "quality-told")
+    model = fit(told.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(temp).alias("f")), labels, params)
     ok = ~base_failed(F.col(temp), params) & (score_column(model, F.col(temp)) < model.threshold)
-    return out.filter(ok).drop(temp)
+    return told.filter(ok).select(*docs.columns)

@@ -38,7 +38,7 @@ class CachedTokenizer:
     ``max_words`` more have been met once. What is met once more becomes known,
     so the many that never come again do not push out the others."""
 
-    def __init__(self, vocabulary: str, max_parts: int = 400_000, max_words: int = 200_000, max_length: int = 64):
+    def __init__(self, vocabulary: str, max_parts: int = 250_000, max_words: int = 150_000, max_length: int = 64):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -97,6 +97,12 @@ def rows(batches: Iterator, *columns: str) -> Iterator[tuple]:
             yield from zip(*(part.column(c).to_pylist() for c in columns))
 
 
+def values(column, few: int = 256) -> Iterator:
+    """Python values of an Arrow array, a few at a time."""
+    for at in range(0, len(column), few):
+        yield from column.slice(at, few).to_pylist()
+
+
 def emit(schema, buffered: Iterator[tuple], max_rows: int = 2000, max_bytes: int = 8 << 20):
     """Arrow batches of ``schema`` from row tuples, bounded by rows and by the
     bytes of their binary and string values."""
