@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.plans.sink import materialize
+from cartwheel.llm.tables import materialize
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

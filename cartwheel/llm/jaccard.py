@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm.graph import connected_components
 from cartwheel.llm.repeats import repeated_hashes
+from cartwheel.llm.tables import materialize, passing
 from cartwheel.llm.words import WordHashes, emit, mix, powers, rows, text_key, window_hashes
-from cartwheel.plans.sink import materialize
 
 
 @dataclass(frozen=True)
@@ -307,30 +307,33 @@ def similarity_classes(docs: DataFrame, params: JaccardParams = JaccardParams())
     never the smallest (a class without any other id gets null). Extra columns
     are ignored; an empty table gives an empty result."""
     p = params
-    table, _ = materialize(shingle_rows(docs, p), "jaccard-rows")
-    sets = _candidates(docs, table, p)
-    links, _ = materialize(_pivot_links(sets, p), "jaccard-pivots")
-    comp = connected_components(links)
-    label = comp.select(F.col("node").alias("vid"), "component")
-    stars = _clusters(sets, p)
-    # clusters of components: edges between the components of the star's ends
-    at = lambda end: label.select(F.col("vid").alias(end), F.col("component").alias(f"{end}c"))
-    edges = stars.join(at("a"), "a", "left").join(at("b"), "b", "left").select(
-        F.coalesce("ac", "a").alias("a"), F.coalesce("bc", "b").alias("b"))
-    cluster = connected_components(edges)
-    more = connected_components(_search(sets, comp, cluster, p))
-    final = (sets.select("sig", "vid").join(label, "vid", "left")
-                 .select("sig", F.coalesce("component", "vid").alias("node"))
-                 .join(more, "node", "left").select("sig", F.coalesce("component", "node").alias("class")))
-    final, _ = materialize(final, "jaccard-classes")
-    # a class is named by its label, or by the set itself if it has no candidate
-    named = table.join(final, "sig", "left").withColumn(
-        "class", F.coalesce(F.col("class").cast("string"), F.hex("sig")))
-    least = named.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    least, _ = materialize(least, "jaccard-least")
-    return named.join(least, "class", "left").select(
-        "doc_id", "tkey", "n_shingles", "sig",
-        F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    with passing(docs.sparkSession) as keep:
+        table, _ = materialize(shingle_rows(docs, p), "jaccard-rows")
+        sets = _candidates(docs, table, p)
+        links, _ = materialize(_pivot_links(sets, p), "jaccard-pivots")
+        comp = connected_components(links)
+        label = comp.select(F.col("node").alias("vid"), "component")
+        stars = _clusters(sets, p)
+        # clusters of components: edges between the components of the star's ends
+        at = lambda end: label.select(F.col("vid").alias(end), F.col("component").alias(f"{end}c"))
+        edges = stars.join(at("a"), "a", "left").join(at("b"), "b", "left").select(
+            F.coalesce("ac", "a").alias("a"), F.coalesce("bc", "b").alias("b"))
+        cluster = connected_components(edges)
+        more = connected_components(_search(sets, comp, cluster, p))
+        final = (sets.select("sig", "vid").join(label, "vid", "left")
+                     .select("sig", F.coalesce("component", "vid").alias("node"))
+                     .join(more, "node", "left").select("sig", F.coalesce("component", "node").alias("class")))
+        final, _ = materialize(final, "jaccard-classes")
+        # a class is named by its label, or by the set itself if it has no candidate
+        named = table.join(final, "sig", "left").withColumn(
+            "class", F.coalesce(F.col("class").cast("string"), F.hex("sig")))
+        least = named.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
+        least, _ = materialize(least, "jaccard-least")
+        result, path = materialize(named.join(least, "class", "left").select(
+            "doc_id", "tkey", "n_shingles", "sig",
+            F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")), "jaccard-result")
+        keep(path)
+    return result
 
 
 def deduplicate(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
@@ -340,15 +343,17 @@ def deduplicate(docs: DataFrame, params: JaccardParams = JaccardParams()) -> Dat
 
     Rows without shingles (null, empty or blank texts) link with nothing and
     stay."""
-    classes, _ = materialize(similarity_classes(docs, params).filter("sig is not null")
-                             .withColumn("least", F.coalesce(F.col("component_id").cast("string"), F.hex("sig"))), "jaccard-rows-classes")
-    members = classes.groupBy("least", "doc_id", "tkey").agg(F.count("*").alias("copies"))
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("tkey"))
-    first = members.groupBy("least").agg(F.min(order).alias("first"))
-    judged = members.join(first, "least").withColumn("wins", order == F.col("first"))
-    # rows to look at again: losers, and winners that occur more than once
-    away, _ = materialize(judged.filter("not wins or copies > 1").select(
-        F.col("doc_id").alias("__id"), F.col("tkey").alias("__tk"), "wins"), "jaccard-away")
+    with passing(docs.sparkSession) as keep:
+        classes, _ = materialize(similarity_classes(docs, params).filter("sig is not null")
+                                 .withColumn("least", F.coalesce(F.col("component_id").cast("string"), F.hex("sig"))), "jaccard-rows-classes")
+        members = classes.groupBy("least", "doc_id", "tkey").agg(F.count("*").alias("copies"))
+        order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("tkey"))
+        first = members.groupBy("least").agg(F.min(order).alias("first"))
+        judged = members.join(first, "least").withColumn("wins", order == F.col("first"))
+        # rows to look at again: losers, and winners that occur more than once
+        away, path = materialize(judged.filter("not wins or copies > 1").select(
+            F.col("doc_id").alias("__id"), F.col("tkey").alias("__tk"), "wins"), "jaccard-away")
+        keep(path)
     return _without(docs, away)
 
 

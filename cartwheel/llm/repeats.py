@@ -13,9 +13,11 @@ Two shuffles, by hash and back by document, and they survive any skew:
   third of all documents share costs one entry per block, not per document;
 * postings travel as packed arrays, one row per block and bucket, not as rows
   of their own;
-* reduce side, a task's rows come sorted by bucket. It has several buckets and
-  holds the postings of one of them at a time, sorts these and sends the
-  repeated ones on, packed by their documents' bucket.
+* reduce side, a task's rows come sorted by bucket. It holds the postings of one
+  bucket at a time (a bounded slice: there are as many as
+  ``spark.sql.shuffle.partitions``, sized from the input), sorts these and sends
+  the repeated ones on, packed by their documents' bucket. More buckets than
+  tasks would hold less at once, but pack a block's postings into more rows.
 """
 
 from __future__ import annotations
@@ -97,18 +99,13 @@ def _block(keys: list[bytes], arrays: list[np.ndarray], buckets: int) -> Iterato
     yield from _pack(keys, np.where(repeated, _MARK, owner[starts]), h, (h % np.uint64(buckets)).astype(np.int32), False)
 
 
-#: buckets of a task, which are held one after the other
-BUCKETS = 8
-
-
 def repeated_hashes(docs: DataFrame, block: int = 250_000) -> DataFrame:
     """``docs``: columns ``key`` (16-byte binary) and ``hashes`` (packed uint64).
 
     Null or empty ``hashes`` give no rows; rows with equal keys count as one
     document. Returns ``key, hashes``, one row per key (see module text)."""
     spark = docs.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    buckets = BUCKETS * tasks
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
     def pack(batches):
         release_caches()
@@ -175,5 +172,5 @@ def repeated_hashes(docs: DataFrame, block: int = 250_000) -> DataFrame:
         yield from emit(_FOUND, found())
 
     packed = docs.select("key", "hashes").mapInArrow(pack, _PACKED_DDL)
-    found = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(find, _PACKED_DDL)
-    return found.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(collect, "key binary, hashes binary")
+    found = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(find, _PACKED_DDL)
+    return found.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(collect, "key binary, hashes binary")

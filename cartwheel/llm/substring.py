@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel.llm.repeats import repeated_hashes
+from cartwheel.llm.tables import materialize, passing
 from cartwheel.llm.words import WordHashes, emit, rows, sha256_hex, trim, window_hashes
-from cartwheel.plans.sink import materialize
 
 
 @dataclass(frozen=True)
@@ -138,26 +138,29 @@ def repeats(docs: DataFrame, p: SubstringParams = SubstringParams()) -> DataFram
                 yield (key, own.tobytes(), len(own) < len(h))
         yield from emit(pa.schema([("key", pa.binary()), ("hashes", pa.binary()), ("inner", pa.bool_())]), out())
 
-    seeded, _ = materialize(keyed.mapInArrow(seeds, "key binary, hashes binary, inner boolean"), "substring-seeds")
-    again = repeated_hashes(seeded).withColumnRenamed("hashes", "anchors")
-    per_text = seeded.groupBy("key").agg((F.count("*") > 1).alias("copies"), F.max("inner").alias("inner"))
-    hot = per_text.join(again, "key", "left").filter("copies or inner or anchors is not null")
-    hot, _ = materialize(hot, "substring-anchors")
-
-    # one row of each text is enough to extend: copies are settled already
-    own = keyed.join(hot.select("key", "anchors"), "key")
-
-    def extend(batches):
-        def out():
-            hashes = WordHashes()
-            for key, text, anchors in rows(batches, "key", "text", "anchors"):
-                _, h = candidate_windows(hashes.of((text or b"").split()), _unpack(anchors), p)
-                if len(h):
-                    yield (key, np.unique(h).tobytes())
-        yield from emit(pa.schema([("key", pa.binary()), ("hashes", pa.binary())]), out())
-
-    windows = repeated_hashes(own.mapInArrow(extend, "key binary, hashes binary")).withColumnRenamed("hashes", "windows")
-    return materialize(hot.join(windows, "key", "left").select("key", "anchors", "windows", "copies"), "substring-found")[0]
+    with passing(docs.sparkSession) as keep:
+        seeded, _ = materialize(keyed.mapInArrow(seeds, "key binary, hashes binary, inner boolean"), "substring-seeds")
+        again = repeated_hashes(seeded).withColumnRenamed("hashes", "anchors")
+        per_text = seeded.groupBy("key").agg((F.count("*") > 1).alias("copies"), F.max("inner").alias("inner"))
+        hot = per_text.join(again, "key", "left").filter("copies or inner or anchors is not null")
+        hot, _ = materialize(hot, "substring-anchors")
+
+        # one row of each text is enough to extend: copies are settled already
+        own = keyed.join(hot.select("key", "anchors"), "key")
+
+        def extend(batches):
+            def out():
+                hashes = WordHashes()
+                for key, text, anchors in rows(batches, "key", "text", "anchors"):
+                    _, h = candidate_windows(hashes.of((text or b"").split()), _unpack(anchors), p)
+                    if len(h):
+                        yield (key, np.unique(h).tobytes())
+            yield from emit(pa.schema([("key", pa.binary()), ("hashes", pa.binary())]), out())
+
+        windows = repeated_hashes(own.mapInArrow(extend, "key binary, hashes binary")).withColumnRenamed("hashes", "windows")
+        found, path = materialize(hot.join(windows, "key", "left").select("key", "anchors", "windows", "copies"), "substring-found")
+        keep(path)
+    return found
 
 
 def marked(docs: DataFrame, params: SubstringParams = SubstringParams()) -> tuple[DataFrame, dict[str, str]]:
