@@ -2,8 +2,8 @@
 
 A rule names a host (which covers its subdomains) and a path prefix. Every URL
 is expanded into the expressions that could be rules about it: each suffix of
-its host at a dot, with each prefix of its path that is as long as some rule's
-path. Expressions and rules meet in an equi-join on a short (32-bit) hash
+its host at a dot that has as many labels as some rule's host, with each prefix
+of its path that is as long as some rule's path. Expressions and rules meet in an equi-join on a short (32-bit) hash
 prefix; the full SHA-256 digests then confirm, and of the rules that fit the
 longest decides.
 
@@ -52,11 +52,14 @@ def _digest(host: Column, path: Column) -> Column:
     return F.sha2(F.concat(host, F.lit("\n"), path), 256)
 
 
-def _host_suffixes(host: Column) -> Column:
-    """The host and what follows each of its dots."""
-    labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)),
-                       lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def _n_labels(host: Column) -> Column:
+    return F.length(host) - F.length(F.translate(host, ".", "")) + 1
+
+
+def _host_suffixes(host: Column, counts: Column) -> Column:
+    """What the host ends in, of each number of labels in ``counts`` that it has."""
+    return F.transform(F.filter(counts, lambda k: k <= _n_labels(host)),
+                       lambda k: F.call_function("substring_index", host, F.lit("."), -k))
 
 
 def match_rules(urls: DataFrame, rules: DataFrame, params: UrlParams = UrlParams(), url: str = "url") -> DataFrame:
@@ -68,7 +71,8 @@ def match_rules(urls: DataFrame, rules: DataFrame, params: UrlParams = UrlParams
     null or empty host or a null path are ignored, repeated rules count once
     (``block`` wins); a rule with an empty path fits every path. Null URLs and
     URLs without ``://`` have empty host and path, and no rule fits an empty
-    host. Repeated rows stay; columns that clash with the added ones are
+    host. A host of any length costs one expression per number of labels that
+    rules have. Repeated rows stay; columns that clash with the added ones are
     replaced. Empty tables give empty results, no rules the default verdict."""
     p = params
     clean = rules.select(*[F.col(c).cast("string").alias(c) for c in ("host", "path", "verdict")]) \
@@ -77,15 +81,17 @@ def match_rules(urls: DataFrame, rules: DataFrame, params: UrlParams = UrlParams
         .select("host", "path", F.col("v.verdict").alias("verdict"))
     clean = clean.withColumn("digest", _digest(F.col("host"), F.col("path"))) \
                  .withColumn("short", F.substring("digest", 1, p.hash_chars))
-    # the lengths that rule paths have: bounded by the longest rule path
-    lengths = sorted(r[0] for r in clean.select(F.length("path")).distinct().collect())
+    # the lengths that rule paths have and the numbers of labels of rule hosts:
+    # bounded by the longest rule, whatever the URLs
+    sizes = clean.agg(F.collect_set(F.length("path")).alias("lengths"), F.collect_set(_n_labels(F.col("host"))).alias("labels")).first()
+    lengths, labels = sorted(sizes["lengths"]), sorted(sizes["labels"])
 
     out = urls.withColumn("__host", host_of(F.col(url).cast("string"))).withColumn("__path", path_of(F.col(url).cast("string")))
     out = out.drop("host", "path", "rule", "verdict") \
              .withColumn("__prefix", F.substring("__path", 1, max(lengths, default=0)))
-    cuts = F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>")
+    cuts, counts = (F.array(*[F.lit(n) for n in of]).cast("array<int>") for of in (lengths, labels))
     grown = out.select("__host", "__prefix").filter("__host <> ''").distinct() \
-               .withColumn("suffix", F.explode(_host_suffixes(F.col("__host")))) \
+               .withColumn("suffix", F.explode(_host_suffixes(F.col("__host"), counts))) \
                .withColumn("n", F.explode(F.filter(cuts, lambda n: n <= F.length("__prefix")))) \
                .withColumn("digest", _digest(F.col("suffix"), F.col("__prefix").substr(F.lit(1), F.col("n")))) \
                .withColumn("short", F.substring("digest", 1, p.hash_chars))

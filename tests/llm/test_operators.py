@@ -443,6 +443,16 @@ def test_url_filter(spark):
     assert urlfilter.match_rules(df.limit(0), table).count() == 0
 
 
+def test_url_filter_very_long_hosts_and_paths(spark):
+    rules = queries.URL_RULES + [("a.b.example.com", "/", "block"), ("x.", "/", "block")]
+    urls = ["http://" + "a." * 8000 + "example.net/en/x", "http://" + "b." * 8000 + "net/", "http://x.org/fr/" + "y/" * 100_000,
+            "http://" + "." * 5000 + "org/fr/", "http://a.b.example.com/", "http://b.example.com/", "http://c.x./", "http://" + "q" * 100_000 + "/"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = urlfilter.match_rules(df, spark.createDataFrame(rules, urlfilter.RULES_SCHEMA))
+    expected = [(i, *plain_rule(u, rules)) for i, u in enumerate(urls)]
+    assert got(out, "page_id", "host", "path", "rule", "verdict") == want(expected)
+
+
 # ------------------------------------------------------------------- op9
 def plain_levenshtein(a, b):
     row = list(range(len(b) + 1))
