@@ -7,6 +7,10 @@ good ones is unlike them, and its path is short. Scores follow Liu, Ting and Zho
 ``2 ** (-mean path / c(sample))``, 0 to 1, higher is more anomalous. The
 threshold is read off the scores of *all* labelled rows.
 
+A statistic counts by its distance from the good rows' median, so too little of
+something is as odd as too much. All statistics are shares or level off, and
+none is cut: texts of any length and words of any length have a finite vector.
+
 Only the forest's training sample is bounded (``sample_rows``, the rows whose
 ids have the smallest hashes); statistics, scores and the calibration cover
 every row.
@@ -30,11 +34,12 @@ SYMBOLS = b"#*$%&|<>"  # fixed values of the rule
 _SPACE = b" \t\n\v\f\r"
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _DIGITS = b"0123456789"
-_STOPS = b".,;:!?"
+_MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 STATISTICS = ["symbol_share", "dup_line_share", "repeat_share", "capital_share", "digit_share",
-              "shout_share", "word_length"]
+              "mark_share", "shout_share", "word_length"]
+_USUAL_WORD = 5  # characters; where word_length is one half
 FEATURES_TYPE = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]
                              + [T.StructField(s, T.DoubleType()) for s in STATISTICS])
 
@@ -85,8 +90,8 @@ def features(text: str | None, hashes: WordHashes) -> tuple:
     chars = max(word_chars, 1)
     count = lambda of: len(data) - len(data.translate(None, of))
     share = (n_symbols / chars, n_dup / max(len(lines), 1), n_rep / max(n, 1),
-             count(_UPPER) / chars, count(_DIGITS) / chars, data.count(b"!!") / max(n, 1),
-             min(chars / max(n, 1), 40.0))
+             count(_UPPER) / chars, count(_DIGITS) / chars, count(_MARKS) / chars,
+             data.count(b"!!") / max(n, 1), word_chars / max(word_chars + _USUAL_WORD * n, 1))
     return (n, word_chars, n_symbols, n_dup, n_rep, *share)
 
 
@@ -176,9 +181,8 @@ class QualityModel:
     params: ForestParams
 
     def vectors(self, x: np.ndarray) -> np.ndarray:
-        """Statistics on the bad side only: each rule flags an excess, so what
-        lies below the good rows' median counts as the median."""
-        return np.maximum(np.nan_to_num(x), self.medians)
+        """Distances from the good rows' medians, on either side."""
+        return np.abs(np.nan_to_num(x) - self.medians)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return self.forest.score(self.vectors(x))
@@ -196,16 +200,23 @@ def with_labels(stats: DataFrame, labels: DataFrame) -> DataFrame:
 
 def fit(stats: DataFrame, labels: DataFrame, params: ForestParams = ForestParams()) -> QualityModel:
     """``stats``: ``doc_id`` and struct ``f`` of :func:`features_column`,
-    already materialised (it is read twice). Without any good-labelled row the
-    forest is empty, scores are 0 and only the base rules decide."""
-    labelled = with_labels(stats, labels)
-    sample = (labelled.select(F.xxhash64("doc_id").alias("h"), "doc_id", "good", *[f"f.{s}" for s in STATISTICS])
-                      .orderBy("h", "doc_id", *STATISTICS).limit(params.sample_rows).toPandas())
+    already materialised (it is read a few times). Extra columns are ignored.
+    Rows of equal ids are all labelled; equal vectors are interchangeable, so
+    ties in the sample's order change nothing. Without any good-labelled row
+    the forest is empty, scores are 0 and only the base rules decide."""
+    labelled = with_labels(stats.select("doc_id", "f"), labels)
+    hashed = labelled.select(F.xxhash64("doc_id", *[F.col("f")[s] for s in STATISTICS]).alias("h"), "good",
+                             *[F.col("f")[s].alias(s) for s in STATISTICS])
+    # hashes in the lowest part of their range, where about twice the sample is
+    # expected: only these reach the sort
+    share = min(1.0, 2 * params.sample_rows / max(hashed.count(), 1))
+    low = hashed.filter(F.col("h") <= F.lit(int(-2**63 + share * (2**64 - 2**11))))
+    sample = low.orderBy("h", "good", *STATISTICS).limit(params.sample_rows).toPandas()
     rows = sample[STATISTICS].to_numpy(dtype=float)
     regular = rows[sample["good"].to_numpy() == 1]
     medians = np.median(regular, axis=0) if len(regular) else np.zeros(len(STATISTICS))
-    rows, regular = np.maximum(rows, medians), np.maximum(regular, medians)
-    box = (rows.min(axis=0), rows.max(axis=0)) if len(rows) else (medians, medians)
+    rows, regular = np.abs(rows - medians), np.abs(regular - medians)
+    box = (np.zeros(len(STATISTICS)), rows.max(axis=0) if len(rows) else np.zeros(len(STATISTICS)))
     model = QualityModel(IsolationForest(regular, box, params), medians, 1.0, params)
     if not model.forest.trees:
         return model

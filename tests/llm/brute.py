@@ -116,3 +116,14 @@ def quality_counts(text):
         at[tuple(w[i:i + 5])].append(i)
     rep = {j for places in at.values() if len(places) > 1 for i in places for j in range(i, i + 5)}
     return (len(w), sum(map(len, w)), len(re.findall("[#*$%&|<>]", text)), dup, len(rep))
+
+
+def forest_score(forest, vector):
+    """Isolation score of one vector: every tree walked from its root, node by node."""
+    paths = []
+    for feature, value, left, right, path, _ in forest.trees:
+        at = 0
+        while left[at] != at:
+            at = left[at] if vector[feature[at]] <= value[at] else right[at]
+        paths.append(path[at])
+    return 2.0 ** (-sum(paths) / len(paths) / forest.norm)

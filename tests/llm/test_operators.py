@@ -516,6 +516,41 @@ def test_quality_separates_labelled_rows(spark):
     assert not (out.kept & out.base_failed).any()
 
 
+def test_quality_verdicts_follow_plain_paths(spark, documents, rows):
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    stats = quality.document_statistics(documents)
+    model = quality.fit(stats, labels)
+    judged = {r.doc_id: r for r in quality.judge(stats.withColumn("good", F.lit("x")), model).collect()}
+    assert len(judged) == len(rows)
+    for doc_id, text in rows:
+        counts, vector = brute.quality_counts(text), [float(x) for x in quality.features(text, quality.WordHashes())[len(quality.COUNTS):]]
+        score = brute.forest_score(model.forest, [abs(a - b) for a, b in zip(vector, model.medians)])
+        n, _, _, _, rep = counts
+        r = judged[doc_id]
+        assert abs(r.score - score) < 1e-9 and r.base_failed == (n < 10 or 100 * rep > 20 * n)
+        assert r.kept == (not r.base_failed and score < model.threshold)
+
+
+def test_quality_rejects_oddity_on_either_side(spark, frame):
+    """Too little of something is as odd as too much; very long words and texts have finite vectors."""
+    rng = random.Random(3)
+    junk = [" ".join(rng.choice("abcdefghij") for _ in range(60)),
+            " ".join("".join(rng.choice("bcdfghklm") for _ in range(rng.randint(1, 3))) for _ in range(200)),
+            " ".join("".join(rng.choice(".,;:?!-()") for _ in range(rng.randint(1, 3))) for _ in range(200)),
+            " ".join("q" * 5000 + str(i) for i in range(12)), "z" * 2_000_000 + " a b c d e f g h i j",
+            " ".join(str(rng.random()) for _ in range(200))]
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = quality.fit(quality.document_statistics(docs), spark.read.parquet(f"{sf}/labels.parquet"))
+    clean = docs.join(spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1 and doc_id > 9"), "doc_id").select("doc_id", "text").orderBy("doc_id").limit(50)
+    mixed = frame([(-1 - i, t) for i, t in enumerate(junk)] + [tuple(r) for r in clean.collect()] + ODD_ROWS)
+    judged = quality.judge(quality.document_statistics(mixed), model).collect()
+    assert len(judged) == len(junk) + 50 + len(ODD_ROWS)
+    assert not any(r.kept for r in judged if (r.doc_id or 0) < 0)
+    regular = [r for r in judged if (r.doc_id or 0) > 9 and not r.base_failed]
+    assert len(regular) >= 45 and sum(r.kept for r in regular) >= len(regular) - 1
+
+
 def test_quality_without_labels(spark, frame, documents):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     stats = quality.document_statistics(frame(ODD_ROWS))

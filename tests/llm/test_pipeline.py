@@ -8,6 +8,7 @@ import corpus_pipeline
 from llm import brute
 from llm.conftest import DOCUMENTS, ODD_ROWS, SMALL
 
+from cartwheel.llm import quality
 from cartwheel.llm.tokens import default_tokenizer
 
 
@@ -31,6 +32,18 @@ def test_stages_one_by_one(spark, documents):
             for _, text in after:
                 n, _, _, _, rep = brute.quality_counts(text)
                 assert n >= 10 and 100 * rep <= 20 * n
+            # the forest's verdicts, row by row, and most rows stay
+            labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+            stats = quality.document_statistics(spark.createDataFrame(before, "doc_id long, text string"))
+            model = quality.fit(stats, labels)
+            expected = []
+            for doc_id, text in before:
+                n, _, _, _, rep = brute.quality_counts(text)
+                vector = quality.features(text, quality.WordHashes())[len(quality.COUNTS):]
+                score = brute.forest_score(model.forest, [abs(a - b) for a, b in zip(vector, model.medians)])
+                if n >= 10 and 100 * rep <= 20 * n and score < model.threshold:
+                    expected.append((doc_id, text))
+            assert sorted(after) == sorted(expected) and len(after) >= 0.75 * len(before)
         elif name == "jaccard_join":
             least = {c for _, n, c in brute.classes(before) if n}
             assert sorted(d for d, _ in after) == sorted(least | {d for d, n, _ in brute.classes(before) if not n})
