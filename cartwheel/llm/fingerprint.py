@@ -3,7 +3,8 @@
 A rolling hash over the last seven bytes of the UTF-8 text decides where a
 chunk ends (so boundaries move with the content), every chunk adds one
 character to a signature, and two signatures of the same block size are
-compared by edit distance. A fingerprint holds the signatures of two block
+compared by edit distance. The block size follows from the length and is halved
+while the signature stays short. A fingerprint holds the signatures of two block
 sizes, ``size:signature:signature of twice the size``, so documents whose
 lengths differ by up to a factor of about two still have one in common.
 """
@@ -30,6 +31,7 @@ class FingerprintParams:
     window: int = 7       # bytes of the rolling hash
     length: int = 64      # chunks that a signature has about, at most
     smallest: int = 2     # block size of the shortest texts
+    slice_bytes: int = 32_000  # of a long text that are hashed at a time
     files: int = 4        # neighbour blocks per shuffle partition
 
 
@@ -41,33 +43,82 @@ def block_size(n: int, p: FingerprintParams) -> int:
     return size
 
 
-def _chunks(data: np.ndarray, rolling: np.ndarray, prefix: np.ndarray, back: np.ndarray, size: int, limit: int) -> str:
-    """Signature of one block size: a character per chunk; chunks beyond the
-    limit share the last one (their bytes still count)."""
-    ends = np.flatnonzero((rolling & np.uint64(size - 1)) == np.uint64(size - 1)) + 1
-    ends = ends[ends < len(data)]
-    ends = np.append(ends[:limit - 1], len(data))
-    starts = np.concatenate([[0], ends[:-1]])
-    h = mix((prefix[ends] - prefix[starts]) * back[starts])
-    return _ALPHABET[(h >> np.uint64(58)).astype(np.int64)].tobytes().decode()
+def _slices(data: bytes, p: FingerprintParams):
+    """``at, bytes + 1, rolling hash``, a bounded part of the text at a time."""
+    for at in range(0, len(data), p.slice_bytes):
+        lead = min(at, p.window - 1)  # bytes before the slice that its first windows hold
+        b = np.frombuffer(data, np.uint8, min(p.slice_bytes, len(data) - at) + lead, at - lead).astype(np.uint64) + np.uint64(1)
+        rolling = np.zeros(len(b), dtype=np.uint64)
+        for j, m in enumerate(powers(p.window)):
+            rolling[j:] += b[:max(len(b) - j, 0)] * m
+        yield at, b[lead:], mix(rolling)[lead:]
+
+
+def _ends(rolling: np.ndarray, size: int) -> np.ndarray:
+    return np.flatnonzero((rolling & np.uint64(size - 1)) == np.uint64(size - 1)) + 1
+
+
+class _Signature:
+    """A character per chunk, slice by slice; chunks beyond the limit share the
+    last one (their bytes still count)."""
+
+    def __init__(self, size: int, limit: int):
+        self.size, self.limit = size, limit
+        self.hashes: list[np.ndarray] = []
+        self.count, self.start, self.open = 0, 0, np.uint64(0)
+
+    def add(self, at: int, b: np.ndarray, rolling: np.ndarray, last: bool) -> None:
+        n = len(b)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(b * powers(n), dtype=np.uint64)])
+        ends = _ends(rolling, self.size)
+        if last:
+            ends = ends[ends < n]
+        ends = ends[:self.limit - 1 - self.count]
+        # the open chunk's polynomial goes on from where the slice begins
+        shift = np.uint64(pow(MULTIPLIER, at - self.start, 1 << 64))
+        if len(ends):
+            first = self.open + shift * total[ends[0]]
+            later = (total[ends[1:]] - total[ends[:-1]]) * powers(n + 1, _INVERSE)[ends[:-1]]
+            self.hashes.append(np.append(first, later))
+            self.count += len(ends)
+            self.start = at + int(ends[-1])
+            self.open = (total[n] - total[ends[-1]]) * powers(n + 1, _INVERSE)[ends[-1]]
+        else:
+            self.open = self.open + shift * total[n]
+
+    def text(self) -> str:
+        h = mix(np.concatenate([*self.hashes, np.array([self.open], np.uint64)]))
+        return _ALPHABET[(h >> np.uint64(58)).astype(np.int64)].tobytes().decode()
 
 
 def fingerprint(data: bytes, p: FingerprintParams = FingerprintParams()) -> str:
-    """Equal bytes have equal fingerprints; no bytes have block size and no signature."""
+    """Equal bytes have equal fingerprints; no bytes have block size and no signature.
+
+    The block size that follows from the length is halved as long as the text
+    has fewer than ``length / 2`` chunks of it, so repetitive texts get whole
+    signatures too. What stays short even at the smallest size: texts of few
+    bytes, and texts of one repeated character or cycle in which no window
+    ends a chunk. Very long texts are read in slices of ``slice_bytes``."""
     n = len(data)
     size = block_size(n, p)
     if not n:
         return f"{size}::"
-    b = np.frombuffer(data, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
-    rolling = np.zeros(n, dtype=np.uint64)
-    for j, m in enumerate(powers(p.window)):
-        rolling[j:] += b[:max(n - j, 0)] * m
-    rolling = mix(rolling)
-    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(b * powers(n), dtype=np.uint64)])
-    back = powers(n, _INVERSE)
-    one = _chunks(b, rolling, prefix, back, size, 2 * p.length)
-    two = _chunks(b, rolling, prefix, back, 2 * size, p.length)
-    return f"{size}:{one}:{two}"
+    parts = list(_slices(data, p)) if n <= p.slice_bytes else None  # one slice is hashed once
+    rungs = [size >> k for k in range(size.bit_length()) if size >> k >= p.smallest]
+    found = dict.fromkeys(rungs, 0)
+    for at, _, rolling in parts or _slices(data, p):
+        for rung in rungs:
+            ends = _ends(rolling, rung)
+            found[rung] += int(np.count_nonzero(at + ends < n))
+            if found[rung] + 1 >= p.length // 2:
+                break  # smaller sizes are not needed for what was read so far
+    size = next((r for r in rungs if found[r] + 1 >= p.length // 2), rungs[-1])
+    one, two = _Signature(size, 2 * p.length), _Signature(2 * size, p.length)
+    for at, b, rolling in parts or _slices(data, p):
+        with np.errstate(over="ignore"):  # arithmetic modulo 2**64
+            for s in (one, two):
+                s.add(at, b, rolling, at + len(b) == n)
+    return f"{size}:{one.text()}:{two.text()}"
 
 
 def likeness(a: Column, b: Column) -> Column:

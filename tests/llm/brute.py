@@ -127,3 +127,33 @@ def forest_score(forest, vector):
             at = left[at] if vector[feature[at]] <= value[at] else right[at]
         paths.append(path[at])
     return 2.0 ** (-sum(paths) / len(paths) / forest.norm)
+
+
+def _mixed(h):
+    """The finalising mixer of 64-bit splitmix generators."""
+    h ^= h >> 30
+    h = h * 0xBF58476D1CE4E5B9 % 2**64
+    h ^= h >> 27
+    h = h * 0x94D049BB133111EB % 2**64
+    return h ^ h >> 31
+
+
+def fingerprint(data, window=7, length=64, smallest=2, base=0x9E3779B97F4A7C15):
+    """Piecewise hashes byte by byte, in whole numbers."""
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rolling = [_mixed(sum((data[i - j] + 1) * base**j for j in range(min(window, i + 1))) % 2**64) for i in range(len(data))]
+
+    def signature(size, limit):
+        out, chunk, place = "", 0, 1
+        for i, byte in enumerate(data):
+            chunk, place = (chunk + (byte + 1) * place) % 2**64, place * base % 2**64
+            if i == len(data) - 1 or rolling[i] % size == size - 1 and len(out) < limit - 1:
+                out, chunk, place = out + alphabet[_mixed(chunk) >> 58], 0, 1
+        return out
+
+    size = smallest
+    while size * length < len(data):
+        size *= 2
+    while data and size > smallest and len(signature(size, 2 * length)) < length // 2:
+        size //= 2
+    return f"{size}:{signature(size, 2 * length)}:{signature(2 * size, length)}"

@@ -481,7 +481,7 @@ def fingerprint_expected(rows):
         follower = order[(k + 1) % len(order)][1]
         n = len(t) // 3
         change = t[:len(t) - n] + follower[:n]
-        a, b, c = (fingerprint.fingerprint(x.encode()) for x in (t, change, follower))
+        a, b, c = (brute.fingerprint(x.encode()) for x in (t, change, follower))
         out.append((d, len(t), brute.sha(change), a, b, round(plain_likeness(a, b), 9), round(plain_likeness(a, c), 9)))
     return out
 
@@ -494,6 +494,28 @@ def test_fingerprints(documents, rows, frame):
     assert fingerprint.fingerprints(frame([])).count() == 0
 
 
+def test_fingerprints_byte_by_byte_and_in_slices():
+    rng = random.Random(4)
+    texts = [b"", b"a", b"\xff" * 7, b"ab" * 40, b"word1 " * 300, b"other " * 300, bytes(rng.randrange(256) for _ in range(5000)),
+             b" ".join(b"%d" % rng.randrange(50) for _ in range(3000)), b"x" * 3000, b"same line of a table\n" * 200 + b"and an end"]
+    small = [fingerprint.FingerprintParams(slice_bytes=k) for k in (1, 5, 64, 1000, 4999, 5000)]
+    for text in texts:
+        expected = brute.fingerprint(text)
+        assert fingerprint.fingerprint(text) == expected
+        for p in small if len(text) < 6000 else small[2:]:
+            assert fingerprint.fingerprint(text, p) == expected, (text[:20], p)
+    assert fingerprint.fingerprint(texts[4]).split(":")[1] != fingerprint.fingerprint(texts[5]).split(":")[1]
+
+
+def test_fingerprints_of_varied_texts_are_whole(rows):
+    """Texts of 200 bytes or more with varied content have signatures of 16 characters or more; very long ones too."""
+    long = [t for _, t in rows if t and len(t.encode()) >= 200] + [" ".join(f"w{i * 7919 % 10007}" for i in range(300_000)), "line of a log\n" * 100_000 + "end"]
+    assert len(long) > 50
+    for text in long:
+        _, one, two = fingerprint.fingerprint(text.encode()).split(":")
+        assert 16 <= len(one) <= 128 and len(two) <= 64
+
+
 def test_fingerprints_tell_edits_from_strangers(spark):
     out = fingerprint.fingerprints(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("n_chars >= 60").toPandas()
     assert out.near_edited.median() > 0.5 and out.near_next.median() < 0.25
