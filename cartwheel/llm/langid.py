@@ -27,7 +27,7 @@ class LangParams:
     dictionary_bytes: int = 96 << 10  # per language, after normalising
     sample_docs: int = 400            # training texts per language that the driver gathers at most
     sample_chars: int = 2000          # of each, so that one long text does not fill a dictionary
-    max_languages: int = 64           # bound of the label set; more is an error
+    total_bytes: int = 6 << 20        # of all dictionaries: with more languages each is smaller
     block: int = 4096                 # bytes encoded at a time
     level: int = 9
     min_margin: float = 0.004         # accepted if the runner-up is this share larger
@@ -93,37 +93,61 @@ PREDICTION = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructF
 def fit(training: DataFrame, params: LangParams = LangParams()) -> LangModel:
     """``training``: ``doc_id, text, lang``; rows with a null text or lang are
     skipped. What is gathered is bounded: ``sample_docs`` texts per language
-    (those with the smallest hashes of id and text), ``sample_chars`` of each.
+    (those with the smallest hashes of id and text), ``sample_chars`` of each,
+    from a place anywhere in the text that its hash decides. Every gathered text
+    gives its share to the dictionary. Any number of languages will do: beyond
+    ``total_bytes / dictionary_bytes`` of them, dictionaries and samples shrink.
 
-    Counts and the label set cover all rows. An empty table gives a model
+    Counts and the label set cover all rows. Repeated rows and ties of hashes
+    are interchangeable; extra columns are ignored. An empty table gives a model
     without languages, which answers ``und``."""
     rows = training.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                            F.col("lang").cast("string").alias("lang")).dropna(subset=["text", "lang"])
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang") \
-                 .limit(params.max_languages + 1).collect()
-    if len(counts) > params.max_languages:
-        raise ValueError(f"more than {params.max_languages} languages; raise LangParams.max_languages")
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()
+    if not counts:
+        return LangModel({}, params)
+    room = max(min(params.dictionary_bytes, params.total_bytes // len(counts)), 1)
+    docs = max(params.sample_docs * room // params.dictionary_bytes, 1)
     # one more pass for all languages: rows whose hash lies in the lowest part
     # of the range, where about twice the sample is expected, then the lowest
-    h = F.xxhash64("doc_id", "text")
-    low = F.lit(False)
-    for r in counts:
-        share = min(1.0, 2 * params.sample_docs / r["n"])
-        low = F.when(F.col("lang") == F.lit(r["lang"]), h <= F.lit(int(-2**63 + share * (2**64 - 2**11)))).otherwise(low)
+    bounds = [(r["lang"], int(-2**63 + min(1.0, 2 * docs / r["n"]) * (2**64 - 2**11))) for r in counts]
+    low = training.sparkSession.createDataFrame(bounds, "lang string, bound long")
+    spare = F.greatest(F.length("text") - params.sample_chars, F.lit(0)) + 1
+    part = F.col("text").substr((F.pmod(F.xxhash64("h"), spare) + 1).cast("int"), F.lit(params.sample_chars))
     nearest = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    own = rows.filter(low).select("lang", h.alias("h"), F.substring("text", 1, params.sample_chars).alias("text")) \
-        .withColumn("k", nearest).filter(F.col("k") <= params.sample_docs).orderBy("lang", F.desc("k")).collect()
+    own = rows.withColumn("h", F.xxhash64("doc_id", "text")).join(low, "lang").filter("h <= bound") \
+        .select("lang", "h", part.alias("text")) \
+        .withColumn("k", nearest).filter(F.col("k") <= docs).orderBy("lang", F.desc("k")).collect()
+    texts: dict[str, list[bytes]] = {}
+    for r in own:
+        texts.setdefault(r["lang"], []).append(normalise(r["text"]))
     dictionaries = {}
     for row in counts:  # zstandard prefers recent content: the first texts go last
-        content = b" ".join(normalise(r["text"]) for r in own if r["lang"] == row["lang"])[-params.dictionary_bytes:]
-        if content:
+        content = b" ".join(shares(texts.get(row["lang"], []), room))
+        if content.strip():
             dictionaries[row["lang"]] = content
     return LangModel(dictionaries, params)
 
 
+def shares(texts: list[bytes], room: int) -> list[bytes]:
+    """Every text whole if short, else cut to one common length, so that all
+    of them and a space between each fit into ``room`` bytes."""
+    left, each = room - len(texts), 0
+    for i, size in enumerate(sorted(map(len, texts))):
+        each = max(left, 0) // (len(texts) - i)
+        if size > each:
+            break
+        left, each = left - size, size
+    return [t[:each] for t in texts]
+
+
 def prediction_column(model: LangModel, text: str | Column = "text") -> Column:
-    """Struct ``lang_pred, score, accepted`` of a string column."""
-    # a bounded broadcast: max_languages * dictionary_bytes
+    """Struct ``lang_pred, score, accepted`` of a string column, row by row.
+
+    Null texts and texts without a letter are ``und``, score 0, not accepted; of
+    equally small encodings the more frequent language wins, not accepted. Whole
+    texts are encoded, ``block`` bytes at a time. Empty tables give no rows."""
+    # a bounded broadcast: total_bytes
     @F.arrow_udf(PREDICTION)
     def of(texts: pa.Array) -> pa.Array:
         release_caches()
@@ -143,10 +167,13 @@ def language_filter(docs: DataFrame, params: LangParams = LangParams()) -> DataF
 
     Learns from the rows that have a ``lang``; ``lang`` is no input of the
     prediction. Null texts, texts without a letter and narrow margins go. If no
-    row has a language, nothing can be learned and nothing is rejected."""
+    row has a language, nothing can be learned and nothing is rejected. Repeated
+    rows are judged alike; extra columns pass whatever their names."""
     model = fit(docs, params)
     if not model.dictionaries:
         return docs
     temp = "__lang"
+    while temp in docs.columns:
+        temp += "_"
     out = docs.withColumn(temp, prediction_column(model, F.col("text").cast("string")))
     return out.filter(F.col(temp)["accepted"]).drop(temp)

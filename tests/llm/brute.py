@@ -157,3 +157,21 @@ def fingerprint(data, window=7, length=64, smallest=2, base=0x9E3779B97F4A7C15):
     while data and size > smallest and len(signature(size, 2 * length)) < length // 2:
         size //= 2
     return f"{size}:{signature(size, 2 * length)}:{signature(2 * size, length)}"
+
+
+def language(text, dictionaries, block=4096, level=9, least=0.004):
+    """Language, score and acceptance of one text, by encoding it once per dictionary."""
+    import zstandard
+
+    words = re.findall(r"[a-z\x80-\U0010FFFF]+", (text or "").lower())
+    data = " ".join(words).encode()
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0, False
+    sizes = []
+    for content in dictionaries.values():
+        told = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        told.precompute_compress(level=level)
+        z = zstandard.ZstdCompressor(level=level, dict_data=told, write_content_size=False, write_checksum=False, write_dict_id=False)
+        sizes.append(sum(len(z.compress(data[i:i + block])) for i in range(0, len(data), block)))
+    best, second = sorted(sizes)[:2]
+    return list(dictionaries)[sizes.index(best)], (second - best) / second, (second - best) / second >= least

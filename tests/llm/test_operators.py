@@ -371,8 +371,40 @@ def test_language_odd_rows(frame, documents):
     assert kept.columns == documents.columns and 0.97 * documents.count() <= kept.count()
     none = langid.fit(documents.limit(0))
     assert none.dictionaries == {} and langid.language_filter(documents.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        langid.fit(documents, langid.LangParams(max_languages=1))
+    clash = documents.selectExpr("*", "'x' as __lang", "doc_id as p", "1 as h", "1 as bound")
+    assert langid.language_filter(clash).columns == clash.columns and langid.language_filter(clash).count() == kept.count()
+
+
+def test_language_by_plain_compression(documents, rows):
+    model = langid.fit(documents.filter("doc_id % 2 = 0"))
+    rows = rows + [(10**6 + i, t) for i, t in enumerate([None, "", "12 34 !!", "ÀÉ ß", "中文", "The thing. " * 5000, "zz" * 300_000, "the der les que"])]
+    table = documents.sparkSession.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in table.select("doc_id", langid.prediction_column(model).alias("p")).select("doc_id", "p.*").collect()}
+    assert len(out) == len(rows) and all(len(d) <= model.params.dictionary_bytes for d in model.dictionaries.values())
+    for doc_id, text in rows:
+        assert (out[doc_id].lang_pred, out[doc_id].score, out[doc_id].accepted) == brute.language(text, model.dictionaries)
+
+
+def test_language_any_number_of_labels(spark):
+    """No cap on languages: dictionaries and samples shrink instead; a hot one and repeated rows change nothing."""
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    stems = {f"l{k:03d}": ["".join(rng.choice(letters) for _ in range(6)) for _ in range(40)] for k in range(100)}
+    text = lambda lang: " ".join(rng.choice(stems[lang]) for _ in range(60))
+    train = [(i, text(lang), lang) for i, lang in enumerate([*stems] * 4 + ["l000"] * 300)]
+    model = langid.fit(spark.createDataFrame(train, "doc_id long, text string, lang string"), langid.LangParams(total_bytes=100 * 1024, sample_docs=400))
+    assert len(model.dictionaries) == 100 and next(iter(model.dictionaries)) == "l000"
+    assert sum(map(len, model.dictionaries.values())) <= 100 * 1024
+    ask = [(i, text(lang), lang) for i, lang in enumerate(stems)]
+    got_ = spark.createDataFrame(ask, "doc_id long, text string, lang string").select("lang", langid.prediction_column(model).alias("p")).collect()
+    assert sum(r.lang == r.p.lang_pred for r in got_) >= 95
+
+
+def test_language_shares_use_every_text():
+    assert langid.shares([], 100) == [] and langid.shares([b"ab", b"c"], 100) == [b"ab", b"c"]
+    parts = langid.shares([b"a" * 50, b"b" * 3, b"c" * 80], 63)
+    assert parts == [b"a" * 28, b"b" * 3, b"c" * 28] and len(b" ".join(parts)) <= 63
+    assert all(len(b" ".join(langid.shares([b"x" * n for n in range(40)], room))) <= room for room in (60, 100, 500, 5000))
 
 
 # ------------------------------------------------------------------- op7
