@@ -112,6 +112,8 @@ def fit(training: DataFrame, params: LangParams = LangParams()) -> LangModel:
     # of the range, where about twice the sample is expected, then the lowest
     bounds = [(r["lang"], int(-2**63 + min(1.0, 2 * docs / r["n"]) * (2**64 - 2**11))) for r in counts]
     low = training.sparkSession.createDataFrame(bounds, "lang string, bound long")
+    if sum(len(lang) + 8 for lang, _ in bounds) <= params.total_bytes:  # a row per language
+        low = F.broadcast(low)
     spare = F.greatest(F.length("text") - params.sample_chars, F.lit(0)) + 1
     part = F.col("text").substr((F.pmod(F.xxhash64("h"), spare) + 1).cast("int"), F.lit(params.sample_chars))
     nearest = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
