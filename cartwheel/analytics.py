@@ -19,13 +19,13 @@ from cartwheel.operators.ordered import asof_join, sessions
 from cartwheel.operators.percentiles import percentiles
 from cartwheel.operators.reports import customer_spend, money_as_double
 from cartwheel.operators.sketches import error_bound, estimate, levels, sketch_state
-from cartwheel.operators.star import customer_totals, month_of, with_customers
+from cartwheel.operators.star import customer_totals, meet_heads, month_of, with_customers
 from cartwheel.plans import etl
 from cartwheel.plans.incremental import CustomerMonths
 from cartwheel.plans.parts import PartTable
 from cartwheel.plans.sink import remove_path, save_table
 from cartwheel.plans.upsert import upsert
-from cartwheel.session import ensure_checkpoint_dir
+from cartwheel.session import ensure_checkpoint_dir, task_count
 from cartwheel.sources.catalog import namespace, save_rows
 from cartwheel.sources.tables import Shop, from_testdata, read_table
 from cartwheel.streaming.events import arriving, upsert_windows, windowed
@@ -48,14 +48,16 @@ def distinct_products_sketch(spark, sf_dir, own):
     """Distinct products by region and month, either and neither, from sketches
     saved per customer and month, beside the exact counts and the bound."""
     shop = from_testdata(spark, sf_dir)
-    sold = shop.orders.select("customer_id", month_of().alias("month"), "product_id")
+    lines, heads = shop.lines.select("order_id", "product_id"), shop.heads.select("order_id", "customer_id", month_of().alias("month"))
+    n_lines = lines.count()  # from the files' footers
+    sold = meet_heads(lines, heads, task_count(spark, n_lines))
     table = f"{own.analytics_db}.product_sketches"
     save_table(sketch_state(sold, ["customer_id", "month"], "product_id", LG_K), table)
     state = spark.table(table).join(shop.customers.select("customer_id", "region"), "customer_id")
     sets = cube_sets(["region", "month"])
     told = levels(state, sets, ["region", "month"]).select("level", "region", "month", estimate().alias("estimate"))
-    lines = sold.join(shop.customers.select("customer_id", "region"), "customer_id").groupBy("region", "month", "product_id").agg(F.count(F.lit(1)).alias("n"))
-    exact = lattice(lines, ["region", "month"], "product_id", {"n_lines": "n"}, sets, "exact_products").select(
+    placed = meet_heads(lines, with_customers(heads, shop, "region").drop("customer_id"), task_count(spark, n_lines)).withColumn("n", F.lit(1))
+    exact = lattice(placed, ["region", "month"], "product_id", {"n_lines": "n"}, sets, "exact_products", n_lines).select(
         F.element_at(F.array(*[F.lit(x) for x in ("region_month", "region", "month", "all")]), (F.col("grouping_id") + 1).cast("int")).alias("level"),
         F.col("region").alias("r"), F.col("month").alias("m"), "exact_products")
     met = told.join(exact.withColumnRenamed("level", "l"), (F.col("level") == F.col("l")) & F.col("region").eqNullSafe(F.col("r"))

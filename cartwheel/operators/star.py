@@ -27,6 +27,15 @@ def month_of(date_col: str = "order_date"):
     return F.trunc(F.col(date_col), "MM")
 
 
+def meet_heads(lines: DataFrame, heads: DataFrame, tasks: int) -> DataFrame:
+    """lines ⨝ heads on order_id, dealt over so many tasks (see
+    :func:`cartwheel.session.task_count`): what a task sorts, and then combines
+    before the next shuffle, stays of one size as the tables grow. AQE leaves
+    such a shuffle alone, so the lines of one order stay in one task, sorted on
+    disk where they must be."""
+    return lines.repartition(tasks, "order_id").join(heads.repartition(tasks, "order_id").hint("merge"), "order_id")
+
+
 def order_details(shop: Shop, with_customer_id: bool = False) -> DataFrame:
     """orders ⨝ customers ⨝ products, one row per order line.
 

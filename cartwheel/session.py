@@ -119,6 +119,18 @@ def output_root(spark: SparkSession) -> str:
     return root
 
 
+#: rows that a task sorts or aggregates, where their number is known beforehand
+TASK_ROWS = 1 << 18
+
+
+def task_count(spark: SparkSession, rows: int) -> int:
+    """How many tasks ``rows`` are dealt over by ``repartition``: one a core,
+    or more, so that none gets more than about TASK_ROWS. AQE joins small
+    partitions until there is one a core, or by their compressed bytes; either
+    lets the memory of a task grow with the table."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
 def set_defaults(spark: SparkSession, defaults: dict[str, str]) -> None:
     """Apply SQL settings that neither the submitter nor the session has set."""
     submitted = spark.sparkContext.getConf()

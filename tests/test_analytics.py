@@ -145,6 +145,41 @@ def test_lattice(spark, sets):
         assert rows_of(got) == plain_cube(data, sets)
 
 
+def test_lattice_tasks_do_not_grow(spark, monkeypatch):
+    """What a task aggregates is bounded by TASK_ROWS, for the finest table and for all nodes above it."""
+    from cartwheel import session
+    from cartwheel.operators import cube
+
+    largest = []
+
+    def written(df, name, inner=cube.materialize):
+        out, path = inner(df, name)
+        if name == "lattice":
+            largest.append(out.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0])
+        return out, path
+
+    monkeypatch.setattr(session, "TASK_ROWS", 1000, raising=False)
+    monkeypatch.setattr(cube, "materialize", written)
+    key = F.col("id") % 30_000
+    df = spark.range(40_000).select(*[(F.col("id") % m).alias(d) for d, m in zip("abc", (2, 3, 5))], key.alias("k"), F.lit(1).alias("v"))
+    got = lattice(df, ["a", "b", "c"], "k", {"total": "v"}, cube_sets("abc"), "keys", 40_000)
+    assert {(r.grouping_id, r.total, r["keys"]) for r in got.filter("grouping_id in (3, 7)").collect()} == {(3, 20_000, 15_000), (7, 40_000, 30_000)}
+    assert len(largest) == 7 and max(largest) < 1500
+
+
+def test_sketch_query_deals_the_lines(spark, monkeypatch):
+    """The join of lines and heads has as many tasks as their number asks for."""
+    from cartwheel import analytics, session
+    from cartwheel.config import TESTDATA_PARAMS
+
+    finest = []
+    monkeypatch.setattr(session, "TASK_ROWS", 2000, raising=False)
+    monkeypatch.setattr(analytics, "lattice", lambda df, *a, inner=analytics.lattice: (finest.append(df), inner(df, *a))[1])
+    analytics.distinct_products_sketch(spark, "/root/testdata/sf0.01", TESTDATA_PARAMS)
+    per_task = finest[0].groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    assert per_task[0] < 3000 and per_task[1] == 60_000
+
+
 def test_cube_sets():
     assert sorted(cube_sets("ab")) == sorted([(), ("a",), ("b",), ("a", "b")]) and rollup_sets("ab") == [("a", "b"), ("a",), ()]
 
