@@ -150,17 +150,19 @@ def revenue_cube(spark, sf_dir, own):
     """Region x category x month and all coarser sets: revenue, lines and
     distinct customers."""
     shop = from_testdata(spark, sf_dir)
-    return money_as_double(lattice(cube_base(shop), ["region", "category", "month"], "customer_id", {"revenue": "revenue", "n_lines": "n_lines"},
-                                   cube_sets(["region", "category", "month"]), "customers"))
+    rows = shop.lines.count()  # from the files' footers
+    return money_as_double(lattice(cube_base(shop, rows), ["region", "category", "month"], "customer_id", {"revenue": "order_total", "n_lines": "n"},
+                                   cube_sets(["region", "category", "month"]), "customers", rows))
 
 
-def cube_base(shop: Shop) -> DataFrame:
-    """The fact once, by customer, category and month; then the customers' regions."""
-    p, l, h = shop.products, shop.lines, shop.heads
+def cube_base(shop: Shop, rows: int | None = None) -> DataFrame:
+    """The fact once: priced lines, dealt over tasks for so many ``rows`` (all
+    lines if not given), with the customer, region and month of their heads."""
+    p, l = shop.products, shop.lines
+    tasks = task_count(l.sparkSession, l.count() if rows is None else rows)
     priced = l.join(p, "product_id").select("order_id", "category", (F.col("quantity") * F.col("unit_price")).alias("order_total"))
-    base = priced.join(h.hint("merge"), "order_id").groupBy("customer_id", "category", month_of().alias("month")).agg(
-        F.sum("order_total").alias("revenue"), F.count(F.lit(1)).alias("n_lines"))
-    return with_customers(base, shop, "region")
+    placed = with_customers(shop.heads.select("order_id", "customer_id", month_of().alias("month")), shop, "region")
+    return meet_heads(priced, placed, tasks).withColumn("n", F.lit(1))
 
 
 def heavy_products(spark, sf_dir, own):

@@ -180,6 +180,33 @@ def test_sketch_query_deals_the_lines(spark, monkeypatch):
     assert per_task[0] < 3000 and per_task[1] == 60_000
 
 
+def test_cube_base_deals_the_lines(spark, monkeypatch):
+    from cartwheel import session
+    from cartwheel.analytics import cube_base
+    from cartwheel.sources.tables import from_testdata
+
+    monkeypatch.setattr(session, "TASK_ROWS", 2000, raising=False)
+    base = cube_base(from_testdata(spark, "/root/testdata/sf0.01"))
+    per_task = base.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    assert per_task[0] < 3000 and per_task[1] == 60_000
+
+
+def test_cube_base_on_messy_tables(spark, messy_shop):
+    """Repeated customers and products, unknown ones, nulls: as from the row-level join."""
+    from cartwheel.analytics import cube_base
+    from cartwheel.operators.star import month_of, order_details
+    from cartwheel.sources.tables import Shop
+
+    o = messy_shop.orders.filter("order_id is not null")
+    shop = Shop(messy_shop.customers, messy_shop.products, o, o.select("order_id", "product_id", "quantity"),
+                o.select("order_id", "customer_id", "order_date"))
+    keys = ["region", "category", "month", "customer_id"]
+    got = cube_base(shop).groupBy(*keys).agg(F.sum("order_total"), F.sum("n"))
+    plain = order_details(Shop(shop.customers, shop.products, o), with_customer_id=True).withColumn("customer_id", F.col("cust_id"))
+    want = plain.groupBy("region", "category", month_of().alias("month"), "customer_id").agg(F.sum("order_total"), F.count(F.lit(1)))
+    assert rows_of(got) == rows_of(want) and len(rows_of(want)) > 10
+
+
 def test_cube_sets():
     assert sorted(cube_sets("ab")) == sorted([(), ("a",), ("b",), ("a", "b")]) and rollup_sets("ab") == [("a", "b"), ("a",), ()]
 
